@@ -1,7 +1,7 @@
 """Text to typed value, as SQL expressions that Catalyst compiles.
 
-Every converter gives NULL for a missing text (NULL or '') and NULL for a text it cannot read; `unreadable` tells
-the second case apart. `try_cast` alone is not strict enough for dates and times (it also reads
+Every converter gives NULL for a missing text (NULL or '') and NULL for a text it cannot read; the text
+tells the two apart. `try_cast` alone is not strict enough for dates and times (it also reads
 `2024-01` or a `T` separator), so their form is checked first. None of the expressions depends on the session's ANSI
 mode or time zone.
 
@@ -51,11 +51,6 @@ def typed(column: ColumnSpec, text: str) -> str:
     return f"try_cast(nullif({text}, '') as {column.sql_type})"
 
 
-def unreadable(column: ColumnSpec, text: str) -> str:
-    """True where `text` is present but cannot be stored in the column; NULL or false elsewhere."""
-    return f"{text} <> '' and ({typed(column, text)}) is null"
-
-
 def number_form(column: ColumnSpec, text: str) -> str | None:
     """True where `text` is written as a number of the column's kind, whatever its size; None for other kinds."""
     forms = {"int": INT_FORM, "decimal": DECIMAL_FORM}

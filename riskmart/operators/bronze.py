@@ -10,39 +10,39 @@ from riskmart.spec import DELINQUENCY_CODES, KEY, LOAD_SEQ, TRANSACTION_COLUMNS,
 
 RULE = "_rule"
 REJECT = "_reject"
+_TASK = "_task"
 _TEXT = "_text_"
 
-# A broken rule is numbered 100 * class + column position, so that the smallest number is the failure that counts:
-# conversions in column order first, then the delinquency code, then what a typed table refuses.
+# A broken rule is numbered 100 * class + column position, in judging order: conversions in column order first, then
+# the delinquency code, then what a typed table refuses. The first broken rule counts.
 _CLASS = 100
 _UNKNOWN_CODE, _OUT_OF_RANGE, _NULL_KEY = 1, 2, 3
 
 
-def broken_rule(spec: list[ColumnSpec] = TRANSACTION_SPEC, prefix: str = "") -> str:
-    """SQL for the number of the first broken rule of a row, NULL for a good row.
-
-    Columns of one type are checked by one small lambda over an array of their texts instead of a long CASE: the
-    generated code stays small, and each text occurs once, so a filter pushed below a projection copies it once.
-    """
+def broken_rule(spec: list[ColumnSpec] = TRANSACTION_SPEC) -> str:
+    """SQL for the number of the first broken rule of a row, NULL for a good row; over texts and typed values."""
     position = {c.name: i for i, c in enumerate(spec, 1)}
-    by_type: dict[str, list[ColumnSpec]] = {}
+    delinquency = _TEXT + "delinquency_status"
+    conversions, ranges = [], []
     for c in spec:
-        if c.kind != "text":
-            by_type.setdefault(c.sql_type, []).append(c)
-    numbers = []
-    for columns in by_type.values():
-        number = "p"
-        if convert.number_form(columns[0], "t"):
-            number = f"if({convert.number_form(columns[0], 't')}, p + {_OUT_OF_RANGE * _CLASS}, p)"
-        texts = ", ".join(prefix + c.name for c in columns)
-        positions = ", ".join(str(position[c.name]) for c in columns)
-        numbers.append(f"array_min(zip_with(array({texts}), array({positions}), "
-                       f"(t, p) -> case when {convert.unreadable(columns[0], 't')} then {number} end))")
+        if c.kind == "text":
+            continue
+        unreadable = f"{_TEXT}{c.name} <> '' and {c.name} is null"
+        form = convert.number_form(c, _TEXT + c.name)
+        if form:
+            conversions.append((position[c.name], f"{unreadable} and not {form}"))
+            ranges.append((_OUT_OF_RANGE * _CLASS + position[c.name], unreadable))
+        else:
+            conversions.append((position[c.name], unreadable))
     known = convert.text_list(list(DELINQUENCY_CODES))
-    numbers.append(f"if(coalesce({prefix}delinquency_status, '') in ({known}), null, "
-                   f"{_UNKNOWN_CODE * _CLASS + position['delinquency_status']})")
-    numbers.append(f"if(coalesce({prefix}{KEY}, '') = '', {_NULL_KEY * _CLASS + position[KEY]}, null)")
-    return f"least({', '.join(numbers)})"
+    rules = [
+        *conversions,
+        (_UNKNOWN_CODE * _CLASS + position["delinquency_status"],
+         f"{delinquency} is null or {delinquency} not in ({known})"),
+        *ranges,
+        (_NULL_KEY * _CLASS + position[KEY], f"{KEY} is null"),
+    ]
+    return "case " + " ".join(f"when {condition} then {number}" for number, condition in rules) + " end"
 
 
 def _reason(spec: list[ColumnSpec]) -> str:
@@ -56,19 +56,21 @@ def _reason(spec: list[ColumnSpec]) -> str:
 def judge(raw: DataFrame, spec: list[ColumnSpec] = TRANSACTION_SPEC) -> DataFrame:
     """Type every column and judge every row.
 
-    Gives the typed columns, `_load_seq`, `_rule` (number of the broken rule, NULL for a good row) and `_reject` (what
-    quarantine keeps of the row, NULL for a good row). Column-wise work only: no shuffle, no Python. A column that the
-    source lacks is NULL in every row.
+    Gives the typed columns, `_load_seq`, `_rule` (number of the broken rule, NULL for a good row), `_reject` (what
+    quarantine keeps of the row, NULL for a good row) and `_task`. Column-wise work only: no shuffle, no Python. Each
+    text is converted once. A column that the source lacks is NULL in every row.
     """
     present = set(raw.columns)
     names = [c.name for c in spec]
     extra = [c for c in raw.columns if c not in names and c != LOAD_SEQ]
     texts = raw.select(
         *[(F.col(n) if n in present else F.lit(None).cast("string")).alias(_TEXT + n) for n in names], *extra, LOAD_SEQ)
+    values = texts.selectExpr("*", *[f"{convert.typed(c, _TEXT + c.name)} as {c.name}" for c in spec])
+
     code = convert.delinquency_code(_TEXT + "delinquency_status", "target_credit_default")
-    values = texts.selectExpr(
-        "*", *[f"{convert.typed(c, _TEXT + c.name)} as {c.name}" for c in spec if c.name != "delinquency_status"],
-        f"{broken_rule(spec, _TEXT)} as {RULE}")
+    typed = [f"{code} as {n}" if n == "delinquency_status" else n for n in names]
+    ruled = values.selectExpr(*typed, *[_TEXT + n for n in names], *extra, LOAD_SEQ, f"{broken_rule(spec)} as {RULE}",
+                              f"spark_partition_id() as {_TASK}")
 
     row = ", ".join([f"'{n}', {_TEXT}{n}" for n in names if n in present] + [f"'{n}', `{n}`" for n in extra])
     reject = f"""case when {RULE} is not null then named_struct(
@@ -78,25 +80,31 @@ def judge(raw: DataFrame, spec: list[ColumnSpec] = TRANSACTION_SPEC) -> DataFram
         'failed_value', element_at(array({", ".join(_TEXT + n for n in names)}), {RULE} % {_CLASS}),
         'failure_reason', {_reason(spec)},
         'raw_row_data', to_json(named_struct({row}), map('ignoreNullFields', 'false'))) end as {REJECT}"""
-    typed = [f"{code} as {n}" if n == "delinquency_status" else n for n in names]
-    return values.selectExpr(*typed, LOAD_SEQ, RULE, reject)
+    return ruled.selectExpr(*names, LOAD_SEQ, RULE, reject, _TASK)
+
+
+def _where(judged: DataFrame, condition: str) -> DataFrame:
+    """Filter judged rows above the judging.
+
+    Catalyst would push the filter below and convert every text in both places. It does not move a filter past a
+    projection that gives the number of the task, so the condition names it; a stored table has no such column.
+    """
+    return judged.where(f"{condition} and {_TASK} >= 0" if _TASK in judged.columns else condition)
 
 
 def passed(judged: DataFrame) -> DataFrame:
     """The good rows: typed columns and `_load_seq`, copies of a transaction still in."""
-    return judged.where(F.col(RULE).isNull()).select(*TRANSACTION_COLUMNS, LOAD_SEQ)
+    return _where(judged, f"{RULE} is null").select(*TRANSACTION_COLUMNS, LOAD_SEQ)
 
 
 def good(judged: DataFrame) -> DataFrame:
     """Bronze: the 50 typed columns, one row per transaction, the first good one that was loaded.
 
-    Good and bad rows are numbered apart, so a bad first copy does not block a later good one. Bad rows leave after
-    the numbering: a filter on `_rule` below it would make Spark judge and convert every row in two places. Spark keeps
-    one row per key and task before it shuffles (a window group limit), so a key with very many copies sends at most
-    one row per task.
+    Bad rows leave first, so a bad first copy does not block a later good one. Spark keeps one row per key and task
+    before it shuffles (a window group limit), so a key with very many copies sends at most one row per task.
     """
-    order = Window.partitionBy(KEY, F.col(RULE).isNull()).orderBy(LOAD_SEQ)
-    return (judged.withColumn("_copy", F.row_number().over(order)).where(f"_copy = 1 and {RULE} is null")
+    order = Window.partitionBy(KEY).orderBy(LOAD_SEQ)
+    return (passed(judged).withColumn("_copy", F.row_number().over(order)).where("_copy = 1")
             .select(*TRANSACTION_COLUMNS))
 
 
@@ -125,7 +133,7 @@ def drop_later_copies(good_rows: DataFrame, firsts: DataFrame) -> DataFrame:
 
 def quarantine(judged: DataFrame, quarantined_at: str) -> DataFrame:
     """Rejected rows with the first failing column, its text, a reason code and the whole raw row as JSON."""
-    bad = judged.where(F.col(RULE).isNotNull())
+    bad = _where(judged, f"{RULE} is not null")
     # The id is a digest of the row's key and load position: repeatable, and needs no global counter.
     row_id = F.md5(F.concat_ws("|", F.col(f"{REJECT}.txn_id"), _as_text(judged, LOAD_SEQ)))
     return bad.select(row_id.alias("quarantine_id"), f"{REJECT}.*",

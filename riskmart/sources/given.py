@@ -122,18 +122,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def transaction_source(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions as a source file would hold them, plus the load position.
 
-    Region is joined to the customers, not to the orders. Converting a row is heavy next to reading it, so a small
-    orders file is dealt out to all cores first. No join carries a hint: Spark broadcasts a side only when
+    Region is joined to the customers, not to the orders. Converting a row is heavy next to reading it, so the rows of
+    a small orders file are dealt out to all cores first. No join carries a hint: Spark broadcasts a side only when
     its size allows, and splits skewed customers when it joins by shuffle.
     """
     customers = (_table(spark, folder, "customer")
                  .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
                  .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
                  .select("c_custkey", "c_acctbal", "c_mktsegment", "r_name"))
-    orders = session.spread(_table(spark, folder, "orders"), session.path_bytes(spark, f"{folder}/orders.parquet"))
+    joined = _table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = session.spread(joined, session.path_bytes(spark, f"{folder}/orders.parquet"))
     columns = transaction_expressions("substring(cast(o_orderdate as string), 1, 19)")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).selectExpr(
-        *[f"{sql} as {header(name)}" for name, sql in columns.items()], f"o_orderkey as {LOAD_SEQ}")
+    return rows.selectExpr(*[f"{sql} as {header(name)}" for name, sql in columns.items()],
+                           f"o_orderkey as {LOAD_SEQ}")
 
 
 def fx_source(spark: SparkSession, folder: str) -> DataFrame:

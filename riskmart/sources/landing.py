@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.functions.convert import text_list
 from riskmart.spec import LOAD_SEQ, NA_TOKENS
 
 
@@ -16,13 +17,11 @@ def land(source: DataFrame, loaded_at: str, source_file: str | None = None) -> D
     """
     named = source.toDF(*[c.lower() for c in source.columns])
     kept = {LOAD_SEQ, "_source_file"}
-    blanked = [
-        F.when(F.col(c).isNull() | F.col(c).isin(NA_TOKENS), "").otherwise(F.col(c)).alias(c)
-        for c in named.columns if c not in kept
-    ]
-    file_name = F.lit(source_file).alias("_source_file") if source_file else F.col("_source_file")
+    blanked = [f"case when `{c}` is null or `{c}` in ({text_list(NA_TOKENS)}) then '' else `{c}` end as `{c}`"
+               for c in named.columns if c not in kept]
+    file_name = f"'{source_file}' as _source_file" if source_file else "_source_file"
     position = [LOAD_SEQ] if LOAD_SEQ in named.columns else []
-    return named.select(*blanked, F.lit(loaded_at).alias("_loaded_at"), file_name, *position)
+    return named.selectExpr(*blanked, f"'{loaded_at}' as _loaded_at", file_name, *position)
 
 
 def land_csv(spark: SparkSession, path: str, loaded_at: str, multi_line: bool = False) -> DataFrame:
