@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from riskmart import session
 from riskmart.operators import bronze, gold, runlog, silver
 from riskmart.sources import given, landing
-from riskmart.spec import LOAD_SEQ
 
 QUARANTINED_AT = "2024-01-30 00:00:00"
 
@@ -75,13 +74,10 @@ class StagedLayers(Layers):
 
     @cached_property
     def bronze(self) -> DataFrame:
-        stored = session.stage(super().bronze.select(*_CHECKED), "bronze")
-        return stored
+        return session.stage(bronze.good(self.judged).select(*_CHECKED), "bronze")
 
     @cached_property
     def silver(self) -> DataFrame:
         return silver.classify(silver.with_fx(self.bronze, self.fx)).select(
-            *[c for c in _CHECKED], *silver.ADDED_COLUMNS)
+            *_CHECKED, *silver.ADDED_COLUMNS)
 
-
-__all__ = ["LOAD_SEQ", "QUARANTINED_AT", "Layers", "StagedLayers"]

@@ -101,9 +101,9 @@ class Run:
         bronze_rows, fx = self.tables.read(tables.BRONZE), self.tables.read(tables.RAW_FX)
         if self.settings.require_all_rates:
             rules.require_rates(bronze_rows, fx)
-        # One folder per month, so that readers of a month read only it; a task may hold rows of every month, and
-        # sorting them by month inside the task keeps one file open at a time.
-        built = silver.build(bronze_rows, fx)
+        # One folder per month, so that readers of a month read only it. Without a shuffle every task would write a
+        # file for every month; rebalancing gathers a month and splits one that is large among many tasks.
+        built = silver.build(bronze_rows, fx).hint("rebalance", "txn_month")
         return self.tables.write(tables.SILVER, built, ["txn_month"]).count()
 
     def _silver(self) -> DataFrame:
