@@ -63,14 +63,15 @@ def judge(raw: DataFrame, spec: list[ColumnSpec] = TRANSACTION_SPEC) -> DataFram
     present = set(raw.columns)
     names = [c.name for c in spec]
     extra = [c for c in raw.columns if c not in names and c != LOAD_SEQ]
-    texts = raw.select(
-        *[(F.col(n) if n in present else F.lit(None).cast("string")).alias(_TEXT + n) for n in names], *extra, LOAD_SEQ)
+    texts = raw.selectExpr(
+        *[f"{n if n in present else 'cast(null as string)'} as {_TEXT}{n}" for n in names],
+        *[f"`{n}`" for n in extra], LOAD_SEQ)
     values = texts.selectExpr("*", *[f"{convert.typed(c, _TEXT + c.name)} as {c.name}" for c in spec])
 
     code = convert.delinquency_code(_TEXT + "delinquency_status", "target_credit_default")
     typed = [f"{code} as {n}" if n == "delinquency_status" else n for n in names]
-    ruled = values.selectExpr(*typed, *[_TEXT + n for n in names], *extra, LOAD_SEQ, f"{broken_rule(spec)} as {RULE}",
-                              f"spark_partition_id() as {_TASK}")
+    ruled = values.selectExpr(*typed, *[_TEXT + n for n in names], *[f"`{n}`" for n in extra], LOAD_SEQ,
+                              f"{broken_rule(spec)} as {RULE}", f"spark_partition_id() as {_TASK}")
 
     row = ", ".join([f"'{n}', {_TEXT}{n}" for n in names if n in present] + [f"'{n}', `{n}`" for n in extra])
     reject = f"""case when {RULE} is not null then named_struct(
@@ -94,7 +95,7 @@ def _where(judged: DataFrame, condition: str) -> DataFrame:
 
 def passed(judged: DataFrame) -> DataFrame:
     """The good rows: typed columns and `_load_seq`, copies of a transaction still in."""
-    return _where(judged, f"{RULE} is null").select(*TRANSACTION_COLUMNS, LOAD_SEQ)
+    return _where(judged, f"{RULE} is null").drop(RULE, REJECT, _TASK)
 
 
 def good(judged: DataFrame) -> DataFrame:
@@ -104,8 +105,7 @@ def good(judged: DataFrame) -> DataFrame:
     before it shuffles (a window group limit), so a key with very many copies sends at most one row per task.
     """
     order = Window.partitionBy(KEY).orderBy(LOAD_SEQ)
-    return (passed(judged).withColumn("_copy", F.row_number().over(order)).where("_copy = 1")
-            .select(*TRANSACTION_COLUMNS))
+    return passed(judged).withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy", LOAD_SEQ)
 
 
 def repeated_keys(good_rows: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def drop_later_copies(good_rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """
     marked = good_rows.join(firsts, KEY, "left")
     return (marked.where(F.col("_first_seq").isNull() | (F.col(LOAD_SEQ) == F.col("_first_seq")))
-            .select(*TRANSACTION_COLUMNS))
+            .selectExpr(*TRANSACTION_COLUMNS))
 
 
 def quarantine(judged: DataFrame, quarantined_at: str) -> DataFrame:
@@ -156,7 +156,3 @@ def split_counts(judged: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(ok, F.col("rows") - 1)), F.lit(0)).alias("duplicate_rows"),
         F.count_if(ok).alias("bronze_rows"))
 
-
-def delinquency_codes(judged: DataFrame) -> DataFrame:
-    """Standard code per good row, next to the default flag that may have lifted it."""
-    return passed(judged).select(KEY, "target_credit_default", "delinquency_status")

@@ -56,6 +56,13 @@ def bronze_counts(bronze: DataFrame, quarantined: DataFrame) -> DataFrame:
         _named_count(quarantined, "bronze.quarantine_log"))
 
 
+def bronze_counts_of(split: DataFrame) -> DataFrame:
+    """The same two rows from the counts of one judging pass, where the layers are not stored."""
+    return split.selectExpr(
+        "inline(array(named_struct('table_name', 'bronze.financial_transactions', 'row_count', bronze_rows), "
+        "named_struct('table_name', 'bronze.quarantine_log', 'row_count', quarantined_rows)))")
+
+
 def _named_count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(count_rows().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
 

@@ -81,7 +81,7 @@ def classify(converted: DataFrame) -> DataFrame:
 
 def build(bronze: DataFrame, fx: DataFrame) -> DataFrame:
     """Silver: the 50 Bronze columns and seven derived ones, one row per transaction with debt and a rate."""
-    return classify(with_fx(bronze, fx)).select(*TRANSACTION_COLUMNS, *ADDED_COLUMNS)
+    return classify(with_fx(bronze, fx)).selectExpr(*TRANSACTION_COLUMNS, *ADDED_COLUMNS)
 
 
 def status_distribution(silver: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ class Run:
         """
         judged = bronze.judge(self.tables.read(tables.RAW_TRANSACTIONS)).drop("_task")
         judged = self.tables.write(tables.JUDGED, judged.withColumn("_good", F.col(bronze.RULE).isNull()), ["_good"])
-        good = bronze.passed(judged.where("_good"))
+        good = bronze.passed(judged.where("_good")).drop("_good")
         repeated = self.tables.write(tables.REPEATED_KEYS, bronze.repeated_keys(good))
         firsts = self.tables.write(tables.FIRST_COPIES, bronze.first_copies(good, repeated))
         self.tables.write(tables.QUARANTINE, bronze.quarantine(judged.where("not _good"), self.started.isoformat(" ")))
@@ -115,7 +115,7 @@ class Run:
         return self.spark.read.schema(schema).parquet(folder).select(*TRANSACTION_COLUMNS, *silver.ADDED_COLUMNS)
 
     def gold_aggregate(self) -> int:
-        return self.tables.write(tables.GOLD, gold.monthly(self._silver()).coalesce(1)).count()
+        return self.tables.write(tables.GOLD, gold.monthly(self._silver())).count()
 
     def data_quality(self) -> int:
         results = quality.checks(self._silver(), self.tables.read(tables.GOLD), self.settings.year,
@@ -139,6 +139,8 @@ class Run:
             reports_csv.PROVISION_MONTHLY: reports.provision_monthly(stored),
             reports_csv.PROVISION_BY_DELINQUENCY: reports.provision_by_delinquency(stored),
         }
+        first_rows = reports.preview(contents[reports_csv.CREDIT_RISK_SUMMARY]).collect()
+        log.info("%s: %s rows, first: %s", reports_csv.CREDIT_RISK_SUMMARY, kpis.count(), first_rows)
         self.files = [reports_csv.export(report, folder, name, stamp) for name, report in contents.items()]
         return len(self.files)
 

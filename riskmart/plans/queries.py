@@ -96,7 +96,7 @@ QUERIES: dict[str, Query] = {
     "diag_step_durations": _over(lambda x: diagnostics.step_durations(x.runs)),
     "diag_raw_profile": _over(lambda x: diagnostics.raw_profile(x.raw)),
     "diag_fx_coverage": _over(lambda x: diagnostics.fx_coverage(x.fx)),
-    "diag_bronze_counts": _over(lambda x: diagnostics.bronze_counts(x.bronze, x.quarantine)),
+    "diag_bronze_counts": _over(lambda x: diagnostics.bronze_counts_of(bronze.split_counts(x.judged))),
     "diag_recent_quarantine": _over(lambda x: diagnostics.recent_quarantine(x.quarantine)),
     "diag_delinquency_distribution": _over(lambda x: diagnostics.delinquency_distribution(x.bronze)),
     "diag_silver_nulls": _over(lambda x: diagnostics.silver_nulls(x.silver)),
