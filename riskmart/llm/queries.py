@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskmart.llm import quality
+from riskmart.llm import packing, quality
 
 QUERIES = {
     "op1_quality_rules": quality.query,
+    "op7_best_fit_packing": packing.query,
 }
 
 SQL = {
