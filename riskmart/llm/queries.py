@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskmart.llm import packing, quality
+from riskmart.llm import packing, quality, records
 
 QUERIES = {
     "op1_quality_rules": quality.query,
+    "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
 }
 
