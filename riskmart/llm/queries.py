@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from riskmart.llm import packing, quality, records
+from riskmart.llm import packing, quality, records, spaced
 
 QUERIES = {
     "op1_quality_rules": quality.query,
     "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
+    "op10_spaced_seeds": spaced.query,
 }
 
 SQL = {

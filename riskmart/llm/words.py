@@ -22,8 +22,8 @@ AS_IS = np.arange(256, dtype=np.uint8)
 LOWER = AS_IS.copy()
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+BASE = 0x9E3779B97F4A7C15
+_POWERS = [np.uint64(pow(BASE, j, 1 << 64)) for j in range(64)]
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -33,7 +33,7 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < size:
         made = []
-        for factor in (_BASE, _INVERSE):
+        for factor in (BASE, pow(BASE, -1, 1 << 64)):
             column = np.full(size, factor, np.uint64)
             column[0] = 1
             made.append(np.multiply.accumulate(column))
@@ -43,6 +43,11 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
+def power(j: int) -> np.uint64:
+    """BASE to the j-th modulo 2**64."""
+    return _POWERS[j] if j < len(_POWERS) else np.uint64(pow(BASE, j, 1 << 64))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finalizer of splitmix64: a bijection of 64-bit numbers that spreads all bits."""
     x = x ^ (x >> np.uint64(30))
@@ -87,10 +92,8 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each window of k hashes, by start; the last k - 1 entries are no windows."""
     total = np.zeros(len(hashes), np.uint64)
     room = max(len(hashes) - k + 1, 0)
-    factor = np.uint64(1)
     for j in range(k):
-        total[:room] += hashes[j:j + room] * factor
-        factor = factor * _BASE if j < k - 1 else factor
+        total[:room] += hashes[j:j + room] * power(j)
     return mix(total + np.uint64(k))
 
 
