@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskmart.llm import packing, quality, records, spaced
+from riskmart.llm import debruijn, packing, quality, records, spaced
 
 QUERIES = {
     "op1_quality_rules": quality.query,
+    "op5_substring_dedup": debruijn.query,
     "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
     "op10_spaced_seeds": spaced.query,
@@ -13,4 +14,5 @@ QUERIES = {
 
 SQL = {
     "op1_quality_rules": quality.SQL,
+    "op5_substring_dedup": debruijn.SQL,
 }
