@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from riskmart.llm import debruijn, packing, quality, records, spaced
+from riskmart.llm import cpsj, debruijn, packing, quality, records, spaced
 
 QUERIES = {
     "op1_quality_rules": quality.query,
     "op5_substring_dedup": debruijn.query,
     "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
+    "op8_minhash_dedup": cpsj.query,
     "op10_spaced_seeds": spaced.query,
 }
 
 SQL = {
     "op1_quality_rules": quality.SQL,
     "op5_substring_dedup": debruijn.SQL,
+    "op8_minhash_dedup": cpsj.SQL,
 }
