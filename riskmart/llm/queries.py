@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskmart.llm import cpsj, debruijn, packing, quality, records, spaced
+from riskmart.llm import cpsj, debruijn, packing, quality, records, spaced, templates
 
 QUERIES = {
     "op1_quality_rules": quality.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
     "op8_minhash_dedup": cpsj.query,
+    "op9_license_templates": templates.query,
     "op10_spaced_seeds": spaced.query,
 }
 
@@ -17,4 +18,5 @@ SQL = {
     "op1_quality_rules": quality.SQL,
     "op5_substring_dedup": debruijn.SQL,
     "op8_minhash_dedup": cpsj.SQL,
+    "op9_license_templates": templates.sql(),
 }
