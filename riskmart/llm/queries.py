@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskmart.llm import cpsj, debruijn, langid, packing, quality, records, spaced, templates
+from riskmart.llm import cpsj, debruijn, langid, packing, quality, records, spaced, templates, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.query,
     "op2_language_id": langid.query,
+    "op4_toxicity": toxicity.query,
     "op5_substring_dedup": debruijn.query,
     "op6_binary_records": records.query,
     "op7_best_fit_packing": packing.query,
