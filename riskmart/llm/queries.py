@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from riskmart.llm import cpsj, debruijn, langid, packing, quality, records, spaced, templates, toxicity
+from riskmart.llm import cpsj, debruijn, langid, packing, quality, quoting, records, spaced, templates, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.query,
     "op2_language_id": langid.query,
+    "op3_quotation_linking": quoting.query,
+    "chat_mail_linking": quoting.mail_query,
     "op4_toxicity": toxicity.query,
     "op5_substring_dedup": debruijn.query,
     "op6_binary_records": records.query,
@@ -18,6 +20,8 @@ QUERIES = {
 
 SQL = {
     "op1_quality_rules": quality.SQL,
+    "op3_quotation_linking": quoting.sql(),
+    "chat_mail_linking": quoting.sql(mail=True),
     "op5_substring_dedup": debruijn.SQL,
     "op8_minhash_dedup": cpsj.SQL,
     "op9_license_templates": templates.sql(),
