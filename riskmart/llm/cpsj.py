@@ -97,11 +97,12 @@ def leaves(leaders: DataFrame) -> DataFrame:
     """(node, id): members of all nodes that are small enough to be compared, at least two each."""
     keys = [F.xxhash64(F.lit(t), F.col("tokens")[2 * t], F.col("tokens")[2 * t + 1]) for t in range(TREES)]
     rows = leaders.select("id", "n", F.explode(F.array(*keys)).alias("node"))
-    found = []
+    found, levels = [], []
     for depth in range(DEPTH):
         sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
         small = f"(members <= {LEAF} AND weight <= {LEAF_SHINGLES}) OR members <= {FEW}"
         rows = store.stage(rows.join(sizes.withColumn("small", F.expr(small)).select("node", "small"), "node"), "nodes")
+        levels.append(rows)
         found.append(rows.where("small").select("node", "id"))
         rows = rows.where("NOT small").select("node", "id", "n")
         if rows.isEmpty():
@@ -122,7 +123,11 @@ def leaves(leaders: DataFrame) -> DataFrame:
     for part in found[1:]:
         result = result.unionByName(part)
     members = result.groupBy("node").agg(F.sort_array(F.collect_set("id")).alias("ids")).where(F.size("ids") > 1)
-    return members.groupBy("ids").agg(F.min("node").alias("node")).select("node", F.explode("ids").alias("id"))
+    distinct = members.groupBy("ids").agg(F.min("node").alias("node")).select("node", F.explode("ids").alias("id"))
+    distinct = store.stage(distinct, "leaves")
+    for table in levels:
+        store.discard(table)
+    return distinct
 
 
 def links_of(node: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -209,14 +214,17 @@ def groups(docs: DataFrame) -> DataFrame:
     classes = store.stage(sketch.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("leader")), "classes")
     leaders = store.stage(sketch.join(classes, ["n", "h1", "h2"]).where("id = leader").select(
         "id", "n", "tokens").dropDuplicates(["id", "n"]), "leaders")
-    nodes = store.stage(leaves(leaders), "leaves")
-    compared = nodes.join(texts, "id").select("node", "id", "text")
+    nodes = leaves(leaders)
+    # The members grow with the documents, so the plan is the same at every size: no broadcast of what is still small.
+    compared = nodes.hint("merge").join(texts, "id").select("node", "id", "text")
     links = store.stage(compared.repartition("node").sortWithinPartitions("node").mapInArrow(
         _compare, "a long, b long"), "pairs")
     # A row whose class is led by another document is linked with it; classes need no pairs of their own.
     led = sketch.join(classes, ["n", "h1", "h2"]).where("id <> leader").select(
         F.col("id").alias("a"), F.col("leader").alias("b"))
     labels = components.labels(links.unionByName(led))
+    for table in (leaders, nodes, links):
+        store.discard(table)
     joined = sketch.join(labels, sketch["id"] == labels["node"], "left")
     component = F.coalesce("label", "id").alias("component_id")
     return joined.select("id", F.col("n").alias("n_shingles"), component,
