@@ -17,18 +17,18 @@ def npl_alert(gold: DataFrame) -> DataFrame:
     ratio = F.col("npl_ratio_pct")
     level = F.when(ratio < WATCH_FROM, "normal").when(ratio <= CRITICAL_ABOVE, "watch").when(
         ratio > CRITICAL_ABOVE, "critical")
-    return gold.select("report_month", "npl_ratio_pct", level.alias("alert_level")).orderBy("report_month")
+    return gold.select("report_month", "npl_ratio_pct", level.alias("alert_level")).orderBy(F.asc_nulls_last("report_month"))
 
 
 def npl_anomaly(gold: DataFrame, above: int = ANOMALY_ABOVE) -> DataFrame:
     return (gold.where(F.col("npl_ratio_pct") > above)
-            .select("report_month", "total_accounts", "npl_accounts", "npl_ratio_pct").orderBy("report_month"))
+            .select("report_month", "total_accounts", "npl_accounts", "npl_ratio_pct").orderBy(F.asc_nulls_last("report_month")))
 
 
 def missing_rates(bronze: DataFrame, fx: DataFrame) -> DataFrame:
     """Month and currency pairs that have debt but no rate, with their row count."""
     return (silver_layer.unmatched(bronze, fx).groupBy(*silver_layer.JOIN_KEYS)
-            .agg(count_rows().alias("row_count")).orderBy(*silver_layer.JOIN_KEYS))
+            .agg(count_rows().alias("row_count")).orderBy(*map(F.asc_nulls_last, silver_layer.JOIN_KEYS)))
 
 
 class MissingRate(RuntimeError):
@@ -36,8 +36,8 @@ class MissingRate(RuntimeError):
 
 
 def require_rates(bronze: DataFrame, fx: DataFrame) -> None:
-    """Error that names the first missing pairs; to be called before conversion."""
-    missing = missing_rates(bronze, fx).limit(10).collect()
+    """Error that names all missing pairs, which are bounded by months and currencies; to be called before conversion."""
+    missing = missing_rates(bronze, fx).collect()
     if missing:
         raise MissingRate(", ".join(f"{r['txn_month']} {r['txn_currency']}: {r['row_count']}" for r in missing))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +17,10 @@ RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 STATE_COLUMNS = [f.name for f in RUN_LOG_SCHEMA.fields if f.name != "event_time"]
 
 
+def _now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 class RunLog:
     """Writes one event when a step starts and one when it ends. A log that cannot be written never fails the run."""
 
@@ -26,14 +30,14 @@ class RunLog:
 
     def start(self, step_name: str) -> int:
         """Run id of the started step; ids grow with time."""
-        run_id, now = time.time_ns() // 1000, datetime.now()
+        run_id, now = time.time_ns() // 1000, _now()
         self._started[run_id] = (step_name, now)
         self._append(run_id, step_name, RUNNING, now, None, None, None, None, now)
         return run_id
 
     def end(self, run_id: int, status: str, rows: int | None = None, error: str | None = None) -> None:
         step_name, started = self._started.pop(run_id)
-        now = datetime.now()
+        now = _now()
         seconds = Decimal(str((now - started).total_seconds())).quantize(Decimal("0.01"))
         self._append(run_id, step_name, status, started, now, seconds, rows, error, now)
 
@@ -41,7 +45,8 @@ class RunLog:
         event = (run_id, self.pipeline_name, step_name, status, started, finished, seconds, rows, error,
                  started.date(), event_time)
         try:
-            self.spark.createDataFrame([event], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.spark.createDataFrame([event], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").partitionBy(
+                "run_date").parquet(self.path)
         except Exception as problem:  # the log must not stop the run
             log.warning("run log not written: %s", problem)
 
@@ -51,8 +56,11 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current(events: DataFrame) -> DataFrame:
-    """Latest state per run id; an end counts as later than a start of the same instant."""
-    latest_first = Window.partitionBy("run_id").orderBy(F.desc("event_time"), F.col("finished_at").isNull())
+    """Latest state per run id; an end counts as later than a start of the same instant.
+
+    All events of a run share its date. The date is part of the key, so that a filter on it reaches the log's folders.
+    """
+    latest_first = Window.partitionBy("run_date", "run_id").orderBy(F.desc("event_time"), F.col("finished_at").isNull())
     return (events.withColumn("_age", F.row_number().over(latest_first)).where("_age = 1").select(*STATE_COLUMNS))
 
 

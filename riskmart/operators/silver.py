@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.amounts import count_rows, money, month_of, total
 from riskmart.spec import (
-    DEFAULT_CODE, DEFAULT_PROVISION_RATE, FX_RATE, NPL, OTHER_PROVISION_RATE, PERFORMING, PROVISION_RATES,
+    DEFAULT_CODE, DEFAULT_PROVISION_RATE, FX_DECIMALS, FX_RATE, NPL, OTHER_PROVISION_RATE, PERFORMING, PROVISION_RATES,
     STORED_FX_RATE, STORED_PROVISION_RATE, TRANSACTION_COLUMNS, UNDER_PERFORMING, UNKNOWN,
 )
 
@@ -17,9 +17,14 @@ ADDED_COLUMNS = ["txn_month", "fx_rate_to_thb", "txn_amount_thb", "orig_balance_
 
 
 def rates(fx: DataFrame) -> DataFrame:
-    """Typed rates under the names of the join keys. A rate that is no number ends the run."""
+    """Typed rates under the names of the join keys. A rate that is no number, or has more digits than the type holds,
+    ends the run with an error that names its month and currency."""
+    text, typed = F.trim("rate_to_thb"), F.col("rate_to_thb").try_cast(FX_RATE)
+    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*?)0*$", 1))
+    fits = typed.isNotNull() & (decimals <= FX_DECIMALS) & ~F.lower(text).contains("e")
+    problem = F.concat(F.lit("rate that cannot be held exactly: "), F.concat_ws(" ", "rate_month", "currency_code", text))
     return fx.select(F.col("rate_month").alias("txn_month"), F.col("currency_code").alias("txn_currency"),
-                     F.col("rate_to_thb").cast(FX_RATE).alias("_rate"))
+                     F.when(F.col("rate_to_thb").isNull() | fits, typed).otherwise(F.raise_error(problem)).alias("_rate"))
 
 
 def eligible(bronze: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import logging
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from riskmart import session
 from riskmart.operators import bronze, gold, quality, reconcile, reports, rules, runlog, silver
 from riskmart.sources import landing, reports_csv, tables
-from riskmart.sources.given import STAGES
 from riskmart.sources.tables import Tables
-from riskmart.spec import TRANSACTION_COLUMNS
+from riskmart.spec import STAGES, TRANSACTION_COLUMNS
 
 log = logging.getLogger(__name__)
 PIPELINE_NAME = "full_pipeline"
@@ -37,6 +36,7 @@ class Settings:
     require_all_rates: bool = False
     multi_line: bool = False
     report_folder: str | None = None
+    keep_runs: int | None = None  # published writes kept of each table; all of them unless given
 
 
 @dataclass
@@ -45,11 +45,10 @@ class Run:
 
     spark: SparkSession
     settings: Settings
-    started: datetime = field(default_factory=datetime.now)
+    started: datetime = field(default_factory=lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     def __post_init__(self):
-        session.configure(self.spark)
-        session.size_shuffles(self.spark, session.path_bytes(self.spark, self.settings.transactions))
+        self.spark = session.configured(self.spark)
         self.run_id = self.started.strftime("%Y%m%d_%H%M%S_%f")
         self.tables = Tables(self.spark, self.settings.root, self.run_id)
         self.log = runlog.RunLog(self.spark, f"{self.settings.root.rstrip('/')}/{tables.RUN_LOG}", PIPELINE_NAME)
@@ -62,24 +61,29 @@ class Run:
             try:
                 rows = getattr(self, stage)()
             except Exception as problem:
-                self.log.end(run_id, runlog.FAILED, error=str(problem)[:4000])
+                self.log.end(run_id, runlog.FAILED, error=str(problem))
                 raise
             self.log.end(run_id, runlog.SUCCESS, rows=rows)
             log.info("%s: %s rows", stage, rows)
 
-    def _land(self, path: str, table: str) -> int:
-        """Store a source file and check that as many rows were stored as read."""
+    def _land(self, path: str, table: str) -> tuple[int, DataFrame]:
+        """Store a source file, unpublished, and check that as many rows were stored as read."""
         read = Observation(f"read_{table}")
         landed = landing.land_csv(self.spark, path, self.started.isoformat(), self.settings.multi_line)
-        stored = self.tables.write(table, landed.observe(read, F.count(F.lit(1)).alias("rows")))
-        return landing.check_count(read.get["rows"], stored.count(), table)
+        stored = self.tables.write(table, landed.observe(read, F.count(F.lit(1)).alias("rows")), publish=False)
+        return landing.check_count(read.get["rows"], stored.count(), table), stored
 
     def load_raw_transaction(self) -> int:
-        return self._land(self.settings.transactions, tables.RAW_TRANSACTIONS)
+        rows, _ = self._land(self.settings.transactions, tables.RAW_TRANSACTIONS)
+        self.tables.publish(tables.RAW_TRANSACTIONS)
+        return rows
 
     def load_fx_rate(self) -> int:
-        rows = self._land(self.settings.rates, tables.RAW_FX)
-        landing.require_unique(self.tables.read(tables.RAW_FX), ["rate_month", "currency_code"], tables.RAW_FX)
+        rows, stored = self._land(self.settings.rates, tables.RAW_FX)
+        repeated = landing.repeated_keys(stored, ["rate_month", "currency_code"])
+        repeated = self.tables.write(tables.REPEATED_RATES, repeated)
+        landing.require_unique(repeated, tables.RAW_FX, self.tables.path(tables.REPEATED_RATES))
+        self.tables.publish(tables.RAW_FX)
         return rows
 
     def bronze_transform(self) -> int:
@@ -90,12 +94,21 @@ class Run:
         """
         judged = bronze.judge(self.tables.read(tables.RAW_TRANSACTIONS)).drop("_task")
         judged = self.tables.write(tables.JUDGED, judged.withColumn("_good", F.col(bronze.RULE).isNull()), ["_good"])
+        counts = {r["_good"]: r["count"] for r in judged.groupBy("_good").count().collect()}  # from file footers
         good = bronze.passed(judged.where("_good")).drop("_good")
         repeated = self.tables.write(tables.REPEATED_KEYS, bronze.repeated_keys(good))
         firsts = self.tables.write(tables.FIRST_COPIES, bronze.first_copies(good, repeated))
         self.tables.write(tables.QUARANTINE, bronze.quarantine(judged.where("not _good"), self.started.isoformat(" ")))
-        stored = self.tables.write(tables.BRONZE, bronze.drop_later_copies(good, firsts))
-        return stored.count()
+        stored = self.tables.write(tables.BRONZE, self._stamped(bronze.drop_later_copies(good, firsts), "bronze")).count()
+        log.info("Bronze: %s good, %s quarantined, %s duplicate, %s stored", counts.get(True, 0), counts.get(False, 0),
+                 counts.get(True, 0) - stored, stored)
+        for table in (tables.JUDGED, tables.REPEATED_KEYS, tables.FIRST_COPIES):
+            self.tables.drop(table)
+        return stored
+
+    def _stamped(self, layer: DataFrame, name: str) -> DataFrame:
+        """The layer with the run's one time of loading."""
+        return layer.withColumn(f"_{name}_loaded_at", F.lit(self.started.isoformat(" ")).cast("timestamp_ntz"))
 
     def silver_transform(self) -> int:
         bronze_rows, fx = self.tables.read(tables.BRONZE), self.tables.read(tables.RAW_FX)
@@ -103,19 +116,28 @@ class Run:
             rules.require_rates(bronze_rows, fx)
         # One folder per month, so that readers of a month read only it. Without a shuffle every task would write a
         # file for every month; rebalancing gathers a month and splits one that is large among many tasks.
-        built = silver.build(bronze_rows, fx).hint("rebalance", "txn_month")
-        return self.tables.write(tables.SILVER, built, ["txn_month"]).count()
+        built = self._stamped(silver.build(bronze_rows, fx), "silver").hint("rebalance", "txn_month")
+        stored = self.tables.write(tables.SILVER, built, ["txn_month"])
+        rows = stored.count()
+        unmatched = silver.eligible(bronze_rows).count() - rows  # reads one column of Bronze
+        if unmatched:
+            log.warning("Silver: %s rows with debt have no exchange rate", unmatched)
+        log.info("Silver: status %s; provision %s", silver.status_distribution(stored).collect(),
+                 silver.provision_summary(stored).collect())  # a row per status, and per code and rate
+        return rows
 
     def _silver(self) -> DataFrame:
         """Silver as stored; the month is a folder name and must stay text."""
         folder = self.tables.newest(tables.SILVER)
         if folder is None:
-            raise FileNotFoundError(f"{self.settings.root}/{tables.SILVER} has no finished write")
+            raise FileNotFoundError(f"{self.settings.root}/{tables.SILVER} has no published write")
         schema = silver.build(self.tables.read(tables.BRONZE), self.tables.read(tables.RAW_FX)).schema
         return self.spark.read.schema(schema).parquet(folder).select(*TRANSACTION_COLUMNS, *silver.ADDED_COLUMNS)
 
     def gold_aggregate(self) -> int:
-        return self.tables.write(tables.GOLD, gold.monthly(self._silver())).count()
+        stored = self.tables.write(tables.GOLD, self._stamped(gold.monthly(self._silver()), "gold"))
+        log.info("Gold: %s; totals %s", gold.listing(stored).collect(), gold.totals(stored).first())  # a row per month
+        return stored.count()
 
     def data_quality(self) -> int:
         results = quality.checks(self._silver(), self.tables.read(tables.GOLD), self.settings.year,
@@ -142,6 +164,8 @@ class Run:
         first_rows = reports.preview(contents[reports_csv.CREDIT_RISK_SUMMARY]).collect()
         log.info("%s: %s rows, first: %s", reports_csv.CREDIT_RISK_SUMMARY, kpis.count(), first_rows)
         self.files = [reports_csv.export(report, folder, name, stamp) for name, report in contents.items()]
+        if self.settings.keep_runs:
+            self.tables.retain(self.settings.keep_runs)
         return len(self.files)
 
 
@@ -162,6 +186,7 @@ def main() -> None:
     parser.add_argument("--from-stage", choices=STAGES)
     parser.add_argument("--require-all-rates", action="store_true")
     parser.add_argument("--multi-line", action="store_true")
+    parser.add_argument("--keep-runs", type=int)
     arguments = vars(parser.parse_args())
     from_stage = arguments.pop("from_stage")
     logging.basicConfig(level=logging.INFO)

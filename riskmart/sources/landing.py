@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from riskmart.functions.convert import text_list
 from riskmart.spec import LOAD_SEQ, NA_TOKENS
 
+_LINE = "_line"
+
 
 def land(source: DataFrame, loaded_at: str, source_file: str | None = None) -> DataFrame:
     """Raw layer of a source whose columns are all text.
@@ -28,18 +30,25 @@ def land_csv(spark: SparkSession, path: str, loaded_at: str, multi_line: bool =
     """Raw layer of CSV files with a header, whatever their columns are.
 
     Only the first line is read to learn the names; a file whose header differs fails the read instead of shifting
-    columns. `_load_seq` orders rows by file, then position: file path, start of the split, running number within it.
+    columns. A line with more fields than the header fails the read as well, and the error has the whole line: an
+    unquoted separator would shift every later column. Missing fields at the end of a line are empty. `_load_seq` orders rows by file, then position: file path, start of the split, running number within it.
     Files are split among tasks unless `multi_line` (line breaks inside quotes) is set.
     """
-    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "UTF-8"}
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "UTF-8",
+               "columnNameOfCorruptRecord": _LINE}
     names = spark.read.options(**options).csv(path).columns
-    schema = ", ".join(f"`{n}` string" for n in names)
+    schema = ", ".join(f"`{n}` string" for n in [*names, _LINE])
     rows = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    # Spark gives the line of every row with another number of fields; separators outside quotes tell which have more.
+    bare = F.regexp_replace(_LINE, '"(?:[^"]|"")*"', "")
+    surplus = F.length(bare) - F.length(F.translate(bare, ",", "")) >= len(names)
+    source_file = F.when(surplus, F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_LINE)))).otherwise(
+        F.col("_metadata.file_name"))
     position = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"))
-    return land(rows.select("*", F.col("_metadata.file_name").alias("_source_file"), position.alias(LOAD_SEQ)),
+    return land(rows.select(*[f"`{n}`" for n in names], source_file.alias("_source_file"), position.alias(LOAD_SEQ)),
                 loaded_at)
 
 
@@ -62,8 +71,16 @@ def row_count_check(source: DataFrame, stored: DataFrame) -> DataFrame:
         "status", F.when(F.col("source_rows") == F.col("stored_rows"), "PASS").otherwise("FAIL"))
 
 
-def require_unique(df: DataFrame, keys: list[str], table: str) -> None:
-    """Error when a key occurs twice. Only the keys are shuffled and one offending key reaches the driver."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"{table}: {repeated[0]['copies']} rows for {[repeated[0][k] for k in keys]}")
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their row count. Only the keys are shuffled."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def require_unique(repeated: DataFrame, table: str, stored_at: str = "") -> None:
+    """Error when there are repeated keys: how many, where they are stored, and the first of them in order."""
+    keys = [c for c in repeated.columns if c != "copies"]
+    count = repeated.count()
+    if count:
+        first = repeated.orderBy(*keys).first()
+        raise ValueError(f"{table}: {count} repeated keys{f' (all in {stored_at})' if stored_at else ''}, "
+                         f"first {first['copies']} rows for {[first[k] for k in keys]}")

@@ -48,7 +48,8 @@ LABELS = {
         "total_provision_thb": "เงินสำรองรวม (THB)",
     },
 }
-BOM = "﻿"
+BOM = "\ufeff"
+_PLACE = "_place"
 
 
 def export(report: DataFrame, folder: str, name: str, stamp: str) -> str:
@@ -61,7 +62,9 @@ def export(report: DataFrame, folder: str, name: str, stamp: str) -> str:
     first, *others = labelled
     first = F.col(report.columns[0]).alias(BOM + LABELS[name].get(report.columns[0], report.columns[0]))
     target, parts = f"{folder.rstrip('/')}/{name}_{stamp}.csv", f"{folder.rstrip('/')}/_{name}_{stamp}"
-    (report.select(first, *others).coalesce(1).write.mode("overwrite")
+    # Position in the report's order, then one task that sorts by it: gathering sorted partitions need not keep order.
+    ordered = report.select(first, *others).withColumn(_PLACE, F.monotonically_increasing_id())
+    (ordered.repartition(1).sortWithinPartitions(_PLACE).drop(_PLACE).write.mode("overwrite")
      .options(header=True, quote='"', escape='"', emptyValue="").csv(parts))
 
     hadoop = spark._jvm.org.apache.hadoop.fs

@@ -79,10 +79,8 @@ def _column(line: str) -> ColumnSpec:
 
 TRANSACTION_SPEC = [_column(line) for line in _TRANSACTION_COLUMNS.strip().splitlines()]
 TRANSACTION_COLUMNS = [c.name for c in TRANSACTION_SPEC]
-FX_COLUMNS = ["rate_month", "currency_code", "rate_to_thb", "source"]
 
 KEY = "txn_id"
-LINEAGE = ["_loaded_at", "_source_file"]
 LOAD_SEQ = "_load_seq"
 
 # Texts that the loader treats as missing, besides the empty text.
@@ -106,14 +104,19 @@ PROVISION_RATES = {"M0": "0.01", "M1": "0.02", "M2": "0.10", "M3": "0.50", "M4+"
 DEFAULT_PROVISION_RATE = "1.00"
 OTHER_PROVISION_RATE = "0.01"
 
-# Types of stored amounts. Rates keep 8 decimals until the one rounding at the end.
+# Types of stored amounts. Rates have 8 decimals at most (others are refused) until the one rounding at the end.
 MONEY = "decimal(14,2)"
 MONEY_SUM = "decimal(20,2)"
 RATIO = "decimal(8,4)"
 FX_RATE = "decimal(18,8)"
+FX_DECIMALS = 8
 STORED_FX_RATE = "decimal(10,4)"
 STORED_PROVISION_RATE = "decimal(5,4)"
 
+# The stage names of a full run, in order.
+STAGES = ["load_raw_transaction", "load_fx_rate", "bronze_transform", "silver_transform", "gold_aggregate",
+          "data_quality", "reconciliation", "export_report"]
+
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType(), False),
     T.StructField("pipeline_name", T.StringType(), False),

@@ -61,8 +61,22 @@ def test_counts_and_unique_keys(spark):
     with pytest.raises(landing.CountMismatch, match="2 rows stored, 3 rows read"):
         landing.check_count(3, 2, "t")
     rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, n int")
-    landing.require_unique(rows, ["k", "n"], "t")
-    with pytest.raises(ValueError, match="2 rows for"):
-        landing.require_unique(rows, ["k"], "t")
+    landing.require_unique(landing.repeated_keys(rows, ["k", "n"]), "t")
+    with pytest.raises(ValueError, match="1 repeated keys, first 2 rows for"):
+        landing.require_unique(landing.repeated_keys(rows, ["k"]), "t")
     check = landing.row_count_check(rows, rows.where("n = 1")).first()
     assert (check.source_rows, check.stored_rows, check.status) == (3, 2, "FAIL")
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize("line", ["T2,2,EXTRA", "T2,,EXTRA", "T2,2,", 'T2,"a",b,c'])
+def test_surplus_fields_are_refused_with_their_line(spark, tmp_path, line, multi_line):
+    path = write(tmp_path, "in.csv", f"Txn_ID,N\nT1,1\n{line}\n")
+    with pytest.raises(Exception, match="more fields than the header has: " + line.split('"')[0]):
+        landing.land_csv(spark, path, "now", multi_line).collect()
+
+
+def test_short_and_empty_fields_are_kept(spark, tmp_path):
+    path = write(tmp_path, "in.csv", 'A,B,C\n1\n1,2\n,,\n"",x,""\n')
+    rows = landing.land_csv(spark, path, "now").orderBy("_load_seq").collect()
+    assert [(r.a, r.b, r.c) for r in rows] == [("1", "", ""), ("1", "2", ""), ("", "", ""), ("", "x", "")]

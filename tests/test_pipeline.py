@@ -11,7 +11,7 @@ from riskmart.plans import pipeline
 from riskmart.plans.layers import Layers
 from riskmart.plans.pipeline import Settings
 from riskmart.sources import given, tables
-from riskmart.spec import TRANSACTION_COLUMNS
+from riskmart.spec import STAGES, TRANSACTION_COLUMNS
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +52,10 @@ def test_stored_layers_equal_the_lazy_ones(spark, complete):
     assert stored.schema.simpleString() == lazy.silver.schema.simpleString()
     assert same(stored, lazy.silver, stored.columns)
     kpis = complete.tables.read(tables.GOLD).where("report_month <> '1998-02'")
-    assert same(kpis, lazy.gold.where("report_month <> '1998-02'"), kpis.columns)
+    assert same(kpis, lazy.gold.where("report_month <> '1998-02'"), lazy.gold.columns)
+    for table, name in ((tables.BRONZE, "bronze"), (tables.SILVER, "silver"), (tables.GOLD, "gold")):
+        stamps = complete.tables.read(table).select(f"_{name}_loaded_at").distinct().collect()
+        assert [r[0] for r in stamps] == [complete.started]
 
 
 def test_silver_is_pruned_by_month(complete):
@@ -62,10 +65,10 @@ def test_silver_is_pruned_by_month(complete):
 
 def test_run_log_holds_every_stage(spark, complete):
     runs = runlog.current(runlog.read_events(spark, complete.log.path)).orderBy("run_id").collect()
-    assert [r.step_name for r in runs] == given.STAGES
+    assert [r.step_name for r in runs] == STAGES
     assert {r.status for r in runs} == {"SUCCESS"}
     rows = {r.step_name: r.rows_processed for r in runs}
-    assert rows["load_raw_transaction"] == 1500 and rows["bronze_transform"] == 1387
+    assert rows["load_raw_transaction"] == 1500 and rows["bronze_transform"] == 1364
     assert rows["silver_transform"] == 1286 and rows["data_quality"] == 10 and rows["reconciliation"] == 5
 
 
@@ -86,11 +89,11 @@ def test_six_report_files(complete):
 
 
 def test_rerun_from_silver_gives_the_same_tables(spark, files, complete):
-    before = complete.tables.read(tables.GOLD).collect()
+    before = complete.tables.read(tables.GOLD).drop("_gold_loaded_at").collect()
     again = pipeline.run(spark, settings(files, complete.settings.root), from_stage="silver_transform")
     assert again.tables.newest(tables.GOLD).endswith(again.run_id)
     assert not again.tables.newest(tables.BRONZE).endswith(again.run_id)
-    assert sorted(map(str, again.tables.read(tables.GOLD).collect())) == sorted(map(str, before))
+    assert sorted(map(str, again.tables.read(tables.GOLD).drop("_gold_loaded_at").collect())) == sorted(map(str, before))
 
 
 def test_missing_rate_fails_reconciliation_and_blocks_the_reports(spark, files, tmp_path):
@@ -133,3 +136,33 @@ def test_log_that_cannot_be_written_does_not_stop_a_run(spark, tmp_path):
     (tmp_path / "file").write_text("")
     log = runlog.RunLog(spark, str(tmp_path / "file"), "p")
     log.end(log.start("step"), runlog.SUCCESS, rows=1)
+
+
+def test_a_table_whose_check_failed_is_not_published(spark, files, complete, tmp_path):
+    rates = (files / "rates.csv").read_text()
+    month, currency = given.MISSING_RATE
+    (tmp_path / "twice.csv").write_text(rates + f"{month},{currency},1.5,bank\n{month},USD,1.5,bank\n")
+    before = complete.tables.newest(tables.RAW_FX)
+    twice = Settings(str(files / "txns.csv"), str(tmp_path / "twice.csv"), complete.settings.root, 1997)
+    with pytest.raises(ValueError, match="2 repeated keys"):
+        pipeline.run(spark, twice)
+    assert complete.tables.newest(tables.RAW_FX) == before
+    again = pipeline.run(spark, twice, from_stage="silver_transform")
+    assert again.tables.read(tables.SILVER).count() == complete.tables.read(tables.BRONZE).where("orig_balance_after > 0").count()
+    repeated = again.tables.read(tables.REPEATED_RATES).collect()
+    assert {(r.rate_month, r.currency_code, r.copies) for r in repeated} == {(month, currency, 2), (month, "USD", 2)}
+
+
+def test_errors_are_logged_whole(spark, tmp_path):
+    log = runlog.RunLog(spark, str(tmp_path / "log"), "p")
+    log.end(log.start("step"), runlog.FAILED, error="x" * 5000)
+    assert max(len(r.error_message or "") for r in runlog.read_events(spark, str(tmp_path / "log")).collect()) == 5000
+
+
+def test_retention_keeps_the_newest_published_writes(spark, tmp_path):
+    for run in "1234":
+        tables.Tables(spark, str(tmp_path), run).write(tables.GOLD, spark.range(int(run)), publish=run != "3")
+    last = tables.Tables(spark, str(tmp_path), "5")
+    last.retain(2)
+    assert sorted(os.listdir(tmp_path / tables.GOLD)) == ["run=2", "run=3", "run=4"]
+    assert last.read(tables.GOLD).count() == 4

@@ -115,3 +115,23 @@ def test_month_end_keeps_the_last_row_per_account_and_month(spark):
            ("b", "2024-01", datetime(2024, 1, 1), "v2")],
         "account_id string, txn_month string, txn_timestamp timestamp_ntz, txn_id string")
     assert sorted(r.txn_id for r in rules.month_end(rows).collect()) == ["t9", "u", "v2"]
+
+
+@pytest.mark.parametrize(("rate", "exact"), [("36.12345678", True), ("36.1234567800", True), ("7", True), ("0.123456789", False),
+                                             ("0.00000000123", False), ("1e-9", False), ("12345678901.5", False), ("x", False)])
+def test_rates_are_exact_or_refused_by_name(spark, rate, exact):
+    fx = spark.createDataFrame([("2024-01", "USD", rate)], "rate_month string, currency_code string, rate_to_thb string")
+    if exact:
+        assert silver.rates(fx).first()["_rate"] == D(rate)
+    else:
+        with pytest.raises(Exception, match="2024-01 USD"):
+            silver.rates(fx).collect()
+
+
+def test_all_missing_pairs_are_named(spark, bronze_rows):
+    fx = spark.createDataFrame([], "rate_month string, currency_code string, rate_to_thb string")
+    months = [f"2024-{m:02d}" for m in range(1, 13)]
+    rows = bronze_rows(*[{"txn_timestamp": f"{m}-05 10:00:00"} for m in months])
+    with pytest.raises(rules.MissingRate) as problem:
+        rules.require_rates(rows, fx)
+    assert all(m in str(problem.value) for m in months)
