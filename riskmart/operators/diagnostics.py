@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.amounts import count_rows, total
+from riskmart.operators import gold as gold_layer
 from riskmart.spec import MONEY_SUM
 
 
@@ -33,9 +34,19 @@ def step_durations(runs: DataFrame) -> DataFrame:
 
 
 def raw_profile(raw: DataFrame) -> DataFrame:
-    return raw.agg(count_rows().alias("total_rows"), F.count_distinct("cust_id").alias("unique_customers"),
-                   F.count_distinct("txn_id").alias("unique_transactions"),
-                   F.min("_loaded_at").alias("first_loaded"), F.max("_loaded_at").alias("last_loaded"))
+    """Row count, distinct keys and load times.
+
+    Load times are aggregated per value first, and each key has an aggregate of its own: all hash on one column, where
+    distinct counts and text extremes in one aggregate would multiply and sort the rows.
+    """
+    loads = raw.groupBy("_loaded_at").agg(count_rows().alias("rows")).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"), F.min("_loaded_at").alias("first_loaded"),
+        F.max("_loaded_at").alias("last_loaded"))
+    keys = [raw.groupBy(key).agg(count_rows().alias("rows")).agg(F.count(key).alias(name))
+            for key, name in (("cust_id", "unique_customers"), ("txn_id", "unique_transactions"))]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [loads, *keys])
+    return rows.agg(*[F.max(c).alias(c) for c in ("total_rows", "unique_customers", "unique_transactions", "first_loaded",
+                                                  "last_loaded")])
 
 
 def fx_coverage(fx: DataFrame) -> DataFrame:
@@ -48,25 +59,16 @@ def fx_coverage(fx: DataFrame) -> DataFrame:
                      "e -> array_repeat(e.currency_code, e.rows)))")
     return (per_currency.groupBy("rate_month")
             .agg(F.count("currency_code").alias("currency_count"), F.array_join(entries, ", ").alias("currencies"))
-            .orderBy("rate_month"))
-
-
-def bronze_counts(bronze: DataFrame, quarantined: DataFrame) -> DataFrame:
-    return _named_count(bronze, "bronze.financial_transactions").unionByName(
-        _named_count(quarantined, "bronze.quarantine_log"))
+            .orderBy(F.asc_nulls_last("rate_month")))
 
 
 def bronze_counts_of(split: DataFrame) -> DataFrame:
-    """The same two rows from the counts of one judging pass, where the layers are not stored."""
+    """Rows of Bronze and of the quarantine, from the counts of one judging pass."""
     return split.selectExpr(
         "inline(array(named_struct('table_name', 'bronze.financial_transactions', 'row_count', bronze_rows), "
         "named_struct('table_name', 'bronze.quarantine_log', 'row_count', quarantined_rows)))")
 
 
-def _named_count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(count_rows().alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-
-
 def recent_quarantine(quarantined: DataFrame, rows: int = 20) -> DataFrame:
     return (quarantined.orderBy(F.desc("quarantined_at"), "quarantine_id").limit(rows)
             .select("cust_id", "txn_id", "failed_column", "failed_value", "failure_reason", "quarantined_at"))
@@ -93,22 +95,26 @@ def status_totals(silver: DataFrame) -> DataFrame:
 
 def fx_used(silver: DataFrame) -> DataFrame:
     return (silver.groupBy("txn_currency", "txn_month", "fx_rate_to_thb")
-            .agg(count_rows().alias("transaction_count")).orderBy("txn_month", "txn_currency", "fx_rate_to_thb"))
+            .agg(count_rows().alias("transaction_count")).orderBy(*map(F.asc_nulls_last, ("txn_month", "txn_currency", "fx_rate_to_thb"))))
 
 
-def quick_recon(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """Four figures as text: row counts and balances of Silver and Gold. A balance without rows is NULL, a count 0."""
+def quick_recon(silver: DataFrame, gold: DataFrame | None = None) -> DataFrame:
+    """Four figures as text: row counts and balances of Silver and Gold. A balance without rows is NULL, a count 0.
+
+    Without a stored Gold table both come from one monthly aggregate of Silver.
+    """
     def figures(layer, aggregates):
         one_row = layer.agg(*[F.expr(sql).cast("string").alias(name) for name, sql in aggregates.items()])
         rows = ", ".join(f"named_struct('metric', '{name}', 'value', {name})" for name in aggregates)
         return one_row.selectExpr(f"inline(array({rows}))")
-    parts = [
-        figures(silver, {"silver_total_accounts": "count(1)",
-                         "silver_total_balance_thb": f"cast(sum(orig_balance_thb) as {MONEY_SUM})"}),
-        figures(gold, {"gold_sum_total_accounts": "coalesce(sum(total_accounts), 0)",
-                       "gold_sum_outstanding_balance_thb": f"cast(sum(outstanding_balance_thb) as {MONEY_SUM})"}),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    def of(prefix, balance):
+        return {f"{prefix}_accounts": "coalesce(sum(total_accounts), 0)",
+                balance: f"cast(sum(outstanding_balance_thb) as {MONEY_SUM})"}
+    facts = gold_layer.monthly(silver)
+    of_silver, of_gold = of("silver_total", "silver_total_balance_thb"), of("gold_sum_total", "gold_sum_outstanding_balance_thb")
+    if gold is None:
+        return figures(facts, of_silver | of_gold)
+    return figures(facts, of_silver).unionByName(figures(gold, of_gold))
 
 
 def quarantine_reasons(quarantined: DataFrame) -> DataFrame:
@@ -116,13 +122,14 @@ def quarantine_reasons(quarantined: DataFrame) -> DataFrame:
             .orderBy(F.desc("row_count"), "failed_column", "failure_reason"))
 
 
-def layer_counts(bronze: DataFrame, silver: DataFrame, gold: DataFrame) -> DataFrame:
+def layer_counts(bronze: DataFrame, silver: DataFrame, gold: DataFrame | None = None) -> DataFrame:
     """Rows with debt in Bronze, rows in Silver and accounts in Gold, side by side."""
-    counts = [
-        bronze.agg(F.count_if(F.col("orig_balance_after") > 0).alias("bronze_count")),
-        silver.agg(count_rows().alias("silver_count")),
-        gold.agg(F.coalesce(F.sum("total_accounts"), F.lit(0)).alias("gold_count")),
-    ]
+    def accounts(name):
+        return F.coalesce(F.sum("total_accounts"), F.lit(0)).alias(name)
+    facts = gold_layer.monthly(silver)
+    counts = [bronze.agg(F.count_if(F.col("orig_balance_after") > 0).alias("bronze_count"))]
+    counts += [facts.agg(accounts("silver_count"), accounts("gold_count"))] if gold is None else [
+        facts.agg(accounts("silver_count")), gold.agg(accounts("gold_count"))]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
     return rows.agg(*[F.max(c).alias(c) for c in ("bronze_count", "silver_count", "gold_count")])
 

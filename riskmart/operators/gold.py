@@ -15,11 +15,13 @@ COLUMNS = ["report_month", "total_accounts", "outstanding_balance_thb", "npl_acc
            "npl_balance_thb", "npl_provision_thb"]
 
 
-def monthly(silver: DataFrame) -> DataFrame:
-    """KPIs per month in one aggregation; rows of unknown status count in the totals only.
+def facts(silver: DataFrame, counted: dict[str, str] | None = None) -> DataFrame:
+    """Gold and, per month, how many Silver rows meet each of the named conditions: all that checks ask of Silver's
+    rows, in one pass. Rows of unknown status count in the totals only.
 
     Sums are partial per task before the shuffle, so a month that holds most rows costs no more than another.
     """
+    counted = counted or {}
     aggregates = [count_rows().alias("total_accounts"),
                   total("orig_balance_thb").alias("outstanding_balance_thb"),
                   total("provision_amount_thb").alias("total_provision_thb")]
@@ -28,14 +30,20 @@ def monthly(silver: DataFrame) -> DataFrame:
         aggregates += [F.count_if(of_status).alias(f"{prefix}_accounts"),
                        total_where(of_status, "orig_balance_thb").alias(f"{prefix}_balance_thb"),
                        total_where(of_status, "provision_amount_thb").alias(f"{prefix}_provision_thb")]
+    aggregates += [F.count_if(F.expr(condition)).alias(name) for name, condition in counted.items()]
     return (silver.groupBy(F.col("txn_month").alias("report_month")).agg(*aggregates)
             .withColumn("npl_ratio_pct", percent_of("npl_accounts", "total_accounts"))
-            .select(*COLUMNS))
+            .select(*COLUMNS, *counted))
+
+
+def monthly(silver: DataFrame) -> DataFrame:
+    """KPIs per month in one aggregation."""
+    return facts(silver)
 
 
 def listing(gold: DataFrame) -> DataFrame:
     return gold.select("report_month", "total_accounts", "outstanding_balance_thb", "npl_accounts", "npl_ratio_pct",
-                       "total_provision_thb").orderBy("report_month")
+                       "total_provision_thb").orderBy(F.asc_nulls_last("report_month"))
 
 
 def totals(gold: DataFrame) -> DataFrame:

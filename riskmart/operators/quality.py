@@ -1,6 +1,7 @@
 """Ten quality checks on Silver and Gold, as rows (check_name, layer, status, failed_count, detail), and the gate.
 
-The row checks of a layer share one pass over it; only the key check needs a shuffle, of the key column alone.
+The row checks of both layers come from one monthly aggregate of Silver, and of the stored Gold table where there is
+one; only the key check needs a pass and a shuffle of its own, of the key column alone.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskmart.functions.amounts import count_rows
 from riskmart.functions.convert import text_list
+from riskmart.operators import gold as gold_layer
 from riskmart.spec import DEFAULT_PROVISION_RATE, KEY, NPL, PERFORMING, UNDER_PERFORMING
 
 SILVER, GOLD = "silver", "gold"
@@ -58,10 +60,15 @@ RESULT_COLUMNS = ["check_name", "layer", "status", "failed_count", "detail"]
 
 def row_checks(layer: DataFrame, layer_name: str, names: list[str]) -> DataFrame:
     """The named row checks of one layer in a single pass."""
-    counts = layer.agg(*[F.count_if(F.expr(FAILS[n])).alias(n) for n in names])
-    rows = ", ".join(f"named_struct('check_name', '{n}', 'failed_count', {n}, 'detail', '{DETAILS[n]}')" for n in names)
-    return counts.selectExpr(f"inline(array({rows}))").select("check_name", F.lit(layer_name).alias("layer"),
-                                                              _status(), "failed_count", "detail")
+    return _listed(layer.agg(*[F.count_if(F.expr(FAILS[n])).alias(n) for n in names]), names).where(
+        F.col("layer") == layer_name)
+
+
+def _listed(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row per check of a row of failure counts."""
+    rows = ", ".join(f"named_struct('check_name', '{n}', 'layer', '{n.split('_')[0]}', 'failed_count', {n}, "
+                     f"'detail', '{DETAILS[n]}')" for n in names)
+    return counts.selectExpr(f"inline(array({rows}))").select("check_name", "layer", _status(), "failed_count", "detail")
 
 
 def duplicate_check(silver: DataFrame) -> DataFrame:
@@ -74,7 +81,14 @@ def duplicate_check(silver: DataFrame) -> DataFrame:
 
 def completeness_check(gold: DataFrame, year: int, months: int = 12) -> DataFrame:
     """Fails unless the year has the expected number of months; the count is what is missing."""
-    found = gold.agg(F.count_if(F.col("report_month").startswith(f"{year:04d}-")).alias("found"))
+    return _completeness(gold.agg(_months_of(year)), months)
+
+
+def _months_of(year: int):
+    return F.count_if(F.col("report_month").startswith(f"{year:04d}-")).alias("found")
+
+
+def _completeness(found: DataFrame, months: int) -> DataFrame:
     start, middle, end = COMPLETENESS_DETAIL
     detail = F.concat(F.lit(start), F.col("found").cast("string"), F.lit(f"{middle}{months}{end}"))
     return (found.select((F.lit(months).cast("long") - F.col("found")).alias("failed_count"), detail.alias("detail"))
@@ -86,14 +100,27 @@ def _status():
     return F.when(F.col("failed_count") == 0, "PASS").otherwise("FAIL").alias("status")
 
 
-def checks(silver: DataFrame, gold: DataFrame, year: int, months: int = 12) -> DataFrame:
-    """All ten checks, ordered by layer and name."""
-    parts = [
-        row_checks(silver, SILVER, [n for n in FAILS if n.startswith(SILVER)]),
-        duplicate_check(silver),
-        row_checks(gold, GOLD, [n for n in FAILS if n.startswith(GOLD)]),
-        completeness_check(gold, year, months),
-    ]
+SILVER_FAILS = {n: condition for n, condition in FAILS.items() if n.startswith(SILVER)}
+
+
+def checks(silver: DataFrame, gold: DataFrame | None, year: int, months: int = 12) -> DataFrame:
+    """All ten checks, ordered by layer and name; `gold` is the stored table, or None: Gold is then what Silver gives."""
+    facts = gold_layer.facts(silver, SILVER_FAILS)
+    of_silver = [F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in SILVER_FAILS]
+    gold_names = [n for n in FAILS if n.startswith(GOLD)]
+    of_gold = [*(F.count_if(F.expr(FAILS[n])).alias(n) for n in gold_names), _months_of(year)]
+    if gold is None:
+        counts = facts.agg(*of_silver, *of_gold)
+    else:
+        one_row = facts.agg(*of_silver).unionByName(gold.agg(*of_gold), allowMissingColumns=True)
+        counts = one_row.agg(*[F.max(c).alias(c) for c in one_row.columns])
+    # One plan node gives the rows of all nine checks, so that the aggregate is computed once.
+    start, middle, end = COMPLETENESS_DETAIL
+    complete = (f"named_struct('check_name', '{COMPLETENESS}', 'layer', '{GOLD}', 'failed_count', {months}L - found, "
+                f"'detail', concat('{start}', cast(found as string), '{middle}{months}{end}'))")
+    rows = ", ".join(f"named_struct('check_name', '{n}', 'layer', '{n.split('_')[0]}', 'failed_count', {n}, "
+                     f"'detail', '{DETAILS[n]}')" for n in FAILS)
+    parts = [counts.selectExpr(f"inline(array({rows}, {complete}))").withColumn("status", _status()), duplicate_check(silver)]
     return reduce(DataFrame.unionByName, parts).select(*RESULT_COLUMNS).orderBy("layer", "check_name")
 
 

@@ -1,7 +1,7 @@
 """Five reconciliations between layers, as rows (check_name, source_value, target_value, difference, status, detail).
 
-Each layer is read once: it yields one row of totals, turned into one row per check and side; the two sides of a check
-then meet by name.
+Bronze yields one row of totals; Silver and, unless a stored Gold table is given, Gold yield theirs from one monthly
+aggregate of Silver. Totals become one row per check and side; the two sides of a check then meet by name.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart.operators import gold as gold_layer
 from riskmart.spec import NPL
 
 VALUE = "decimal(22,2)"
@@ -29,15 +30,16 @@ DETAILS = {
     NPL_COUNT: "COUNT(NPL) ใน Silver vs SUM(npl_accounts) ใน Gold",
 }
 AMOUNTS = [BALANCE, PROVISION]
+NPL_ROWS = "_npl_rows"
 
 # (check, side) -> total over a layer. An empty layer gives 0, not NULL.
 _BRONZE = {(BRONZE_SILVER, "source"): "count_if(orig_balance_after > 0)"}
 _SILVER = {
-    (BRONZE_SILVER, "target"): "count(1)",
-    (SILVER_GOLD, "source"): "count(1)",
-    (BALANCE, "source"): "coalesce(sum(orig_balance_thb), 0)",
-    (PROVISION, "source"): "coalesce(sum(provision_amount_thb), 0)",
-    (NPL_COUNT, "source"): f"count_if(loan_status = '{NPL}')",
+    (BRONZE_SILVER, "target"): "coalesce(sum(total_accounts), 0)",
+    (SILVER_GOLD, "source"): "coalesce(sum(total_accounts), 0)",
+    (BALANCE, "source"): "coalesce(sum(outstanding_balance_thb), 0)",
+    (PROVISION, "source"): "coalesce(sum(total_provision_thb), 0)",
+    (NPL_COUNT, "source"): f"coalesce(sum({NPL_ROWS}), 0)",
 }
 _GOLD = {
     (SILVER_GOLD, "target"): "coalesce(sum(total_accounts), 0)",
@@ -58,12 +60,14 @@ def _sides(layer: DataFrame, totals: dict[tuple[str, str], str], names: list[str
     return one_row.selectExpr(f"inline(array({rows}))")
 
 
-def checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame, tolerance: str = "1.00",
+def checks(bronze: DataFrame, silver: DataFrame, gold: DataFrame | None = None, tolerance: str = "1.00",
            names: list[str] | None = None) -> DataFrame:
     """The reconciliations (all, or the named ones), ordered by name. Counts must be equal, amounts may differ by the
-    tolerance."""
+    tolerance. `gold` is the stored table, else Gold is what Silver gives."""
     names = names or list(DETAILS)
-    parts = [_sides(bronze, _BRONZE, names), _sides(silver, _SILVER, names), _sides(gold, _GOLD, names)]
+    facts = gold_layer.facts(silver, {NPL_ROWS: f"loan_status = '{NPL}'"})
+    parts = [_sides(bronze, _BRONZE, names)]
+    parts += [_sides(facts, _SILVER | _GOLD, names)] if gold is None else [_sides(facts, _SILVER, names), _sides(gold, _GOLD, names)]
     sides = reduce(DataFrame.unionByName, [p for p in parts if p is not None])
     paired = sides.groupBy("check_name").agg(
         F.max(F.when(F.col("side") == "source", F.col("value"))).alias("source_value"),

@@ -16,7 +16,7 @@ def credit_risk_summary(gold: DataFrame) -> DataFrame:
                         "total_provision_thb")
             .withColumn("provision_coverage_pct",
                         percent_of_money("total_provision_thb", "outstanding_balance_thb").cast("decimal(12,4)"))
-            .orderBy("report_month"))
+            .orderBy(F.asc_nulls_last("report_month")))
 
 
 def npl_breakdown(silver: DataFrame, dimension: str) -> DataFrame:
@@ -28,7 +28,7 @@ def npl_breakdown(silver: DataFrame, dimension: str) -> DataFrame:
               .withColumn("npl_ratio_pct", percent_of("npl_accounts", "total_accounts"))
               .select(dimension, "npl_accounts", "total_accounts", "npl_ratio_pct", "npl_balance_thb"))
     if dimension == "txn_month":
-        return result.orderBy(dimension)
+        return result.orderBy(F.asc_nulls_last(dimension))
     return result.orderBy(F.desc_nulls_first("npl_ratio_pct"), F.asc_nulls_last(dimension))
 
 
@@ -37,7 +37,7 @@ def provision_monthly(silver: DataFrame) -> DataFrame:
     by_status = [total_where(F.col("loan_status") == status, "provision_amount_thb").alias(f"{prefix}_provision_thb")
                  for prefix, status in STATUS_PREFIXES.items()]
     return (silver.groupBy("txn_month").agg(*by_status, total("provision_amount_thb").alias("total_provision_thb"))
-            .orderBy("txn_month"))
+            .orderBy(F.asc_nulls_last("txn_month")))
 
 
 def provision_by_delinquency(silver: DataFrame) -> DataFrame:

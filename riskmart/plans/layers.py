@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskmart import session
 from riskmart.operators import bronze, gold, runlog, silver
@@ -18,9 +17,7 @@ class Layers:
     """Raw, Bronze, Silver, Gold and the run log of one folder of tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = session.configure(spark), folder
-        tables = ("orders", "customer", "events")
-        session.size_shuffles(spark, sum(session.path_bytes(spark, f"{folder}/{t}.parquet") for t in tables))
+        self.spark, self.folder = session.configured(spark), folder
 
     @cached_property
     def source(self) -> DataFrame:
@@ -32,8 +29,7 @@ class Layers:
 
     @cached_property
     def fx(self) -> DataFrame:
-        """Rates; the broadcast is bounded: at most 12 months of 9999 years times 4 currencies, about 30 MB."""
-        return F.broadcast(landing.land(given.fx_source(self.spark, self.folder), given.LOADED_AT, "fx_rate.csv"))
+        return landing.land(given.fx_source(self.spark, self.folder), given.LOADED_AT, "fx_rate.csv")
 
     @cached_property
     def judged(self) -> DataFrame:
@@ -59,25 +55,3 @@ class Layers:
     def runs(self) -> DataFrame:
         return runlog.current(given.run_log_events(self.spark, self.folder))
 
-
-# What the checks across layers read of Bronze.
-_CHECKED = ["cust_id", "txn_id", "txn_timestamp", "txn_currency", "txn_amount_usd", "orig_balance_after",
-            "delinquency_status", "target_credit_default"]
-
-
-class StagedLayers(Layers):
-    """Layers for queries that read several of them: Bronze is computed once and stored, with the checked columns only.
-
-    Judging, the customer join and the removal of copies then run once instead of once per layer, and each check reads
-    the columns it needs.
-    """
-
-    @cached_property
-    def bronze(self) -> DataFrame:
-        return session.stage(bronze.good(self.judged).select(*_CHECKED), "bronze")
-
-    @cached_property
-    def silver(self) -> DataFrame:
-        return silver.classify(silver.with_fx(self.bronze, self.fx)).select(
-            *_CHECKED, *silver.ADDED_COLUMNS)
-

@@ -1,16 +1,17 @@
-"""Session settings that the jobs rely on for speed; results do not depend on them."""
+"""Session settings that the jobs rely on for speed; results do not depend on them.
+
+The number of shuffle partitions is left to the cluster's configuration: aggregates are partial first and move little,
+adaptive execution merges what is small and splits what is skewed.
+"""
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SHUFFLE_BYTES = 64 * 1024 * 1024
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Settings that may change in a running session.
@@ -26,6 +27,9 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "4")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Numbers that do not fit are an error, never a silent NULL, and dates do not depend on the host.
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -39,29 +43,9 @@ def create(app_name: str, master: str | None = None, **options: str) -> SparkSes
     return configure(builder.getOrCreate())
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Stored size of a file or folder, from the file system's own listing."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getContentSummary(location).getLength() if system.exists(location) else 0
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles with partitions that fit the input; adaptive execution merges what turns out small.
-
-    Never below the configured number. Stored columns are compressed, so a partition of the shuffle holds a few times
-    `SHUFFLE_BYTES` in memory.
-    """
-    wanted = max(math.ceil(input_bytes / SHUFFLE_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-
-
-def spread(df: DataFrame, input_bytes: int) -> DataFrame:
-    """Deal rows out to all cores when the input has too few file splits for them; large inputs stay as they are."""
-    spark = df.sparkSession
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if math.ceil(input_bytes / split) < cores else df
+def configured(spark: SparkSession) -> SparkSession:
+    """A session of the same application with the settings above; the given one keeps its own."""
+    return configure(SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession()))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,31 +1,19 @@
 from __future__ import annotations
 
-import pytest
-
 from riskmart import session
 
 
-def test_stage_writes_to_the_shared_folder(spark):
-    stored = session.stage(spark.range(10).selectExpr("id", "id % 3 as k"), "t")
-    assert stored.count() == 10
-    assert all(session.shared_folder(spark) in f for f in stored.inputFiles())
-    assert spark.conf.get("spark.checkpoint.dir") == session.shared_folder(spark)
-
-
-def test_shuffles_grow_with_the_input_and_never_shrink_below_the_setting(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    session.size_shuffles(spark, 10 * 2**40)
-    assert int(spark.conf.get(key)) == 10 * 2**40 // session.SHUFFLE_BYTES
-    session.size_shuffles(spark, 1)
-    assert spark.conf.get(key) == spark.conf.get("spark.sql.shuffle.partitions")
+def test_a_configured_session_leaves_the_given_one_alone(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled"), spark.conf.get("spark.sql.codegen.maxFields")
+    spark.conf.set("spark.sql.codegen.maxFields", "77")
+    try:
+        own = session.configured(spark)
+        assert own.conf.get("spark.sql.codegen.maxFields") == "32" and spark.conf.get("spark.sql.codegen.maxFields") == "77"
+        assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+        assert own.conf.get("spark.sql.session.timeZone") == "UTC" and own.sparkContext is spark.sparkContext
+    finally:
+        spark.conf.set("spark.sql.codegen.maxFields", before[1])
 
 
-@pytest.mark.parametrize(("size", "spread"), [(1, True), (2**40, False)])
-def test_only_small_inputs_are_dealt_out(spark, size, spread):
-    rows = spark.range(100).coalesce(1)
-    assert (session.spread(rows, size).rdd.getNumPartitions() > 1) is spread
-
-
-def test_path_bytes(spark, tmp_path):
-    (tmp_path / "a").write_text("12345")
-    assert session.path_bytes(spark, str(tmp_path)) == 5 and session.path_bytes(spark, str(tmp_path / "none")) == 0
+def test_the_shared_folder_is_the_clusters(spark):
+    assert spark.conf.get("spark.checkpoint.dir") == session.shared_folder(spark)
