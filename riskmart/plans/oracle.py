@@ -6,20 +6,27 @@ give, because engines differ in the type of a sum.
 
 from __future__ import annotations
 
+from riskmart.operators import quality, reconcile
 from riskmart.plans.layers import QUARANTINED_AT
 from riskmart.plans.queries import CHECKED_YEAR
 from riskmart.sources import given
-from riskmart.spec import NA_TOKENS, TRANSACTION_SPEC
+from riskmart.spec import NA_TOKENS, STAGES, TRANSACTION_SPEC
 
 _NAMES = [c.name for c in TRANSACTION_SPEC]
 _TYPED_KINDS = [c for c in TRANSACTION_SPEC if c.kind != "text"]
 
 
+_FORMS = {"int": r"\s*[+-]?\d+\s*", "decimal": r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"}
+
+
+def _readable(c, text: str | None = None) -> str:
+    return f"regexp_full_match({text or c.name}, '{_FORMS[c.kind]}')"
+
+
 def _typed(c) -> str:
     t = f"r.{c.name}"
-    number = {"int": r"\s*[+-]?\d+\s*", "decimal": r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*"}
-    if c.kind in number:
-        return f"CASE WHEN regexp_full_match({t}, '{number[c.kind]}') THEN try_cast(trim({t}) AS {c.sql_type}) END"
+    if c.kind in _FORMS:
+        return f"CASE WHEN {_readable(c, t)} THEN try_cast(trim({t}) AS {c.sql_type}) END"
     if c.kind == "boolean":
         return f"CASE WHEN {t} IN ('True', 'true', '1') THEN true WHEN {t} IN ('False', 'false', '0') THEN false END"
     if c.kind == "date":
@@ -30,14 +37,14 @@ def _typed(c) -> str:
 
 
 def _cte_raw() -> str:
-    columns = given.transaction_expressions("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')")
+    columns = given.transaction_expressions("CAST(o_orderdate AS VARCHAR)")
     tokens = ", ".join(f"'{t}'" for t in NA_TOKENS)
     source = ",\n    ".join(f"{sql} AS {name}" for name, sql in columns.items())
     blanked = ",\n    ".join(f"CASE WHEN {n} IS NULL OR {n} IN ({tokens}) THEN '' ELSE {n} END AS {n}" for n in _NAMES)
     return f"""source AS (
   SELECT {source}, o_orderkey AS seq
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey),
+  FROM orders LEFT JOIN (customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+    ON o_custkey = c_custkey),
 raw AS (
   SELECT {blanked}, '{given.LOADED_AT}' AS _loaded_at, '{given.SOURCE_FILE}' AS _source_file, seq FROM source)"""
 
@@ -47,13 +54,17 @@ def _cte_judged() -> str:
               "date": "INVALID_DATE", "timestamp": "INVALID_TIMESTAMP"}
     typed = ",\n    ".join(f"{_typed(c)} AS t_{c.name}" for c in TRANSACTION_SPEC if c.name != "delinquency_status")
     conversions = "\n    ".join(
-        f"WHEN {c.name} <> '' AND t_{c.name} IS NULL THEN '{c.name}|{reason[c.kind]}'" for c in _TYPED_KINDS)
+        f"WHEN {c.name} <> '' AND t_{c.name} IS NULL" + (f" AND NOT {_readable(c)}" if c.kind in _FORMS else "")
+        + f" THEN '{c.name}|{reason[c.kind]}'" for c in _TYPED_KINDS)
+    ranges = "\n    ".join(f"WHEN {c.name} <> '' AND t_{c.name} IS NULL THEN '{c.name}|OUT_OF_RANGE'"
+                           for c in _TYPED_KINDS if c.kind in _FORMS)
     known = "('Current', '30_Days_Past_Due', '60_Days_Past_Due', '90_Plus_Days_Past_Due')"
     return f"""typed AS (
   SELECT r.*, {typed} FROM raw r),
 judged AS (
   SELECT *, CASE {conversions}
     WHEN delinquency_status NOT IN {known} THEN 'delinquency_status|UNKNOWN_DELINQUENCY'
+    {ranges}
     WHEN t_txn_id IS NULL THEN 'txn_id|NULL_KEY' END AS fail FROM typed)"""
 
 
@@ -142,11 +153,26 @@ def _cte_gold() -> str:
 gold AS (SELECT *, {_ratio('npl_accounts', 'total_accounts')} AS npl_ratio_pct FROM summary)"""
 
 
+def _spoilt(table: str, changes: dict[str, str]) -> str:
+    types = {"fx_rate_to_thb": "DECIMAL(10,4)", "orig_balance_thb": "DECIMAL(14,2)", "provision_rate": "DECIMAL(5,4)",
+             "outstanding_balance_thb": "DECIMAL(20,2)", "total_provision_thb": "DECIMAL(20,2)",
+             "npl_ratio_pct": "DECIMAL(8,4)"}
+    replaced = ", ".join(f"CAST({sql} AS {types[c]}) AS {c}" if c in types else f"{sql} AS {c}" for c, sql in changes.items())
+    return f"SELECT * REPLACE ({replaced}) FROM {table}"
+
+
+def _cte_spoilt() -> str:
+    return f"""bad_silver AS (
+  {_spoilt('silver', given.SPOILT_SILVER)}
+  UNION ALL {_spoilt('silver', given.SPOILT_SILVER)} WHERE {given.REPEATED_SILVER}),
+bad_gold AS (SELECT * FROM ({_spoilt('gold', given.SPOILT_GOLD)}) WHERE NOT ({given.LOST_MONTH}))"""
+
+
 def _cte_runs() -> str:
-    branches = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(given.STAGES))
+    branches = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(STAGES))
     return f"""steps AS (
   SELECT event_id AS run_id, 'full_pipeline' AS pipeline_name,
-    CASE event_id % {len(given.STAGES)} {branches} END AS step_name,
+    CASE event_id % {len(STAGES)} {branches} END AS step_name,
     CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'RUNNING' ELSE 'SUCCESS' END AS status,
     ts AS started_at, CAST(value AS DECIMAL(10,2)) AS seconds, user_id, props FROM events),
 runs AS (
@@ -170,75 +196,66 @@ def _sql(ctes: list, select: str) -> str:
     return "WITH " + ",\n".join(cte() for cte in ctes) + "\n" + select
 
 
-def _check(name: str, layer: str, table: str, condition: str, detail: str) -> str:
+def _check(name: str, layer: str, table: str, condition: str) -> str:
     return (f"SELECT '{name}' AS check_name, '{layer}' AS layer, "
             f"CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) AS failed_count, "
-            f"'{detail}' AS detail FROM {table} WHERE {condition}")
+            f"'{quality.DETAILS[name]}' AS detail FROM {table} WHERE {condition}")
 
 
 _DQ = {
     "dq_null_check": _check(
         "silver_null_check", "silver", "silver",
         "cust_id IS NULL OR txn_id IS NULL OR orig_balance_thb IS NULL OR loan_status IS NULL "
-        "OR provision_amount_thb IS NULL",
-        "NULL ใน column: cust_id, txn_id, orig_balance_thb, loan_status, provision_amount_thb"),
+        "OR provision_amount_thb IS NULL"),
     "dq_duplicate_txn": _check(
-        "silver_duplicate_txn", "silver", "(SELECT txn_id FROM silver GROUP BY txn_id HAVING count(*) > 1)", "true",
-        "txn_id ที่ซ้ำกันมากกว่า 1 แถว"),
+        "silver_duplicate_txn", "silver", "(SELECT txn_id FROM silver GROUP BY txn_id HAVING count(*) > 1)", "true"),
     "dq_fx_rate_positive": _check(
-        "silver_fx_rate_positive", "silver", "silver", "fx_rate_to_thb <= 0 OR fx_rate_to_thb IS NULL",
-        "fx_rate_to_thb ต้องมากกว่า 0 เสมอ"),
+        "silver_fx_rate_positive", "silver", "silver", "fx_rate_to_thb <= 0 OR fx_rate_to_thb IS NULL"),
     "dq_balance_positive": _check(
-        "silver_balance_positive", "silver", "silver", "orig_balance_thb <= 0", "orig_balance_thb ต้องมากกว่า 0"),
+        "silver_balance_positive", "silver", "silver", "orig_balance_thb <= 0"),
     "dq_loan_status_valid": _check(
         "silver_loan_status_valid", "silver", "silver",
-        "loan_status NOT IN ('Performing', 'Under-Performing', 'NPL')",
-        "loan_status ต้องเป็น Performing, Under-Performing, หรือ NPL เท่านั้น"),
+        "loan_status NOT IN ('Performing', 'Under-Performing', 'NPL')"),
     "dq_default_provision_rate": _check(
-        "silver_default_provision_rate", "silver", "silver", "target_credit_default AND provision_rate <> 1.00",
-        "ลูกค้าที่ Default=True ต้องมี provision_rate = 1.00 เสมอ ไม่ว่า Delinquency จะเป็นอะไร"),
+        "silver_default_provision_rate", "silver", "silver", "target_credit_default AND provision_rate <> 1.00"),
     "dq_default_loan_status": _check(
-        "silver_default_loan_status", "silver", "silver", "target_credit_default AND loan_status <> 'NPL'",
-        "ลูกค้าที่ Default=True ต้องมี loan_status = NPL เสมอ"),
+        "silver_default_loan_status", "silver", "silver", "target_credit_default AND loan_status <> 'NPL'"),
     "dq_npl_ratio_range": _check(
-        "gold_npl_ratio_range", "gold", "gold", "npl_ratio_pct < 0 OR npl_ratio_pct > 100",
-        "npl_ratio_pct ต้องอยู่ระหว่าง 0 ถึง 100"),
+        "gold_npl_ratio_range", "gold", "gold", "npl_ratio_pct < 0 OR npl_ratio_pct > 100"),
     "dq_provision_vs_balance": _check(
-        "gold_provision_not_exceed_balance", "gold", "gold", "total_provision_thb > outstanding_balance_thb",
-        "total_provision_thb ต้องไม่เกิน outstanding_balance_thb"),
+        "gold_provision_not_exceed_balance", "gold", "gold", "total_provision_thb > outstanding_balance_thb"),
     "dq_monthly_completeness":
         "SELECT 'gold_monthly_completeness' AS check_name, 'gold' AS layer, "
         "CASE WHEN count(*) = 12 THEN 'PASS' ELSE 'FAIL' END AS status, 12 - count(*) AS failed_count, "
-        "concat('มีข้อมูล ', count(*), ' เดือน (ต้องการ 12 เดือน)') AS detail "
+        f"concat('{quality.COMPLETENESS_DETAIL[0]}', count(*), '{quality.COMPLETENESS_DETAIL[1]}12{quality.COMPLETENESS_DETAIL[2]}') "
+        "AS detail "
         f"FROM gold WHERE report_month LIKE '{CHECKED_YEAR}-%'",
 }
 
 
-def _recon(name: str, source: str, target: str, tolerance: str, detail: str) -> str:
+def _recon(name: str, source: str, target: str, tolerance: str) -> str:
     return (f"SELECT '{name}' AS check_name, s AS source_value, t AS target_value, "
             f"CAST(s - t AS DECIMAL(22,2)) AS difference, "
-            f"CASE WHEN abs(s - t) <= {tolerance} THEN 'PASS' ELSE 'FAIL' END AS status, '{detail}' AS detail "
+            f"CASE WHEN abs(s - t) <= {tolerance} THEN 'PASS' ELSE 'FAIL' END AS status, '{reconcile.DETAILS[name]}' AS detail "
             f"FROM (SELECT CAST(({source}) AS DECIMAL(22,2)) AS s, CAST(({target}) AS DECIMAL(22,2)) AS t)")
 
 
 _RECON = {
     "recon_count_bronze_silver": _recon(
         "count_bronze_to_silver", "SELECT count(*) FROM bronze WHERE orig_balance_after > 0",
-        "SELECT count(*) FROM silver", "0", "จำนวนแถว Bronze (balance>0) vs Silver"),
+        "SELECT count(*) FROM silver", "0"),
     "recon_count_silver_gold": _recon(
         "count_silver_to_gold", "SELECT count(*) FROM silver", "SELECT coalesce(sum(total_accounts), 0) FROM gold",
-        "0", "จำนวนแถวรวมใน Silver vs SUM(total_accounts) ใน Gold"),
+        "0"),
     "recon_balance": _recon(
         "amount_balance_silver_vs_gold", "SELECT coalesce(sum(orig_balance_thb), 0) FROM silver",
-        "SELECT coalesce(sum(outstanding_balance_thb), 0) FROM gold", "1.00",
-        "SUM(orig_balance_thb) Silver vs SUM(outstanding_balance_thb) Gold"),
+        "SELECT coalesce(sum(outstanding_balance_thb), 0) FROM gold", "1.00"),
     "recon_provision": _recon(
         "amount_provision_silver_vs_gold", "SELECT coalesce(sum(provision_amount_thb), 0) FROM silver",
-        "SELECT coalesce(sum(total_provision_thb), 0) FROM gold", "1.00",
-        "SUM(provision_amount_thb) Silver vs SUM(total_provision_thb) Gold"),
+        "SELECT coalesce(sum(total_provision_thb), 0) FROM gold", "1.00"),
     "recon_npl_count": _recon(
         "count_npl_silver_vs_gold", "SELECT count(*) FROM silver WHERE loan_status = 'NPL'",
-        "SELECT coalesce(sum(npl_accounts), 0) FROM gold", "0", "COUNT(NPL) ใน Silver vs SUM(npl_accounts) ใน Gold"),
+        "SELECT coalesce(sum(npl_accounts), 0) FROM gold", "0"),
 }
 
 
@@ -381,5 +398,13 @@ WHERE orig_balance_after > 0 AND NOT EXISTS (SELECT 1 FROM fx WHERE fx.currency_
             _TO_GOLD, "SELECT report_month, total_accounts, npl_accounts, npl_ratio_pct FROM gold "
             "WHERE npl_ratio_pct > 20"),
     }
+    # The same checks over the spoilt layers: each of them fails there.
+    def spoilt(sql: str) -> str:
+        return sql.replace("FROM silver", "FROM bad_silver").replace("FROM gold", "FROM bad_gold")
+    to_spoilt = [*_TO_GOLD, _cte_spoilt]
+    queries["dq_results_spoilt"] = _sql(to_spoilt, "\nUNION ALL\n".join(map(spoilt, _DQ.values())) + "\nORDER BY layer, check_name")
+    queries["recon_results_spoilt"] = _sql(to_spoilt, "\nUNION ALL\n".join(map(spoilt, _RECON.values())) + "\nORDER BY check_name")
+    queries["rule_npl_anomaly_critical"] = _sql(
+        _TO_GOLD, "SELECT report_month, total_accounts, npl_accounts, npl_ratio_pct FROM gold WHERE npl_ratio_pct > 5")
     queries.update({name: _sql(_TO_GOLD, sql) for name, sql in {**_DQ, **_RECON}.items()})
     return queries

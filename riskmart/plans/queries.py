@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmart.operators import bronze, diagnostics, gold, quality, reconcile, reports, rules, runlog, silver
-from riskmart.plans.layers import Layers, StagedLayers
+from riskmart.plans.layers import Layers
 from riskmart.sources import given, landing
 from riskmart.spec import LOAD_SEQ
 
@@ -15,8 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 CHECKED_YEAR = 1997
 
 
-def _over(job: Callable[[Layers], DataFrame], layers: type[Layers] = Layers) -> Query:
-    return lambda spark, folder: job(layers(spark, folder))
+def _over(job: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, folder: job(Layers(spark, folder))
 
 
 def _silver_check(name: str) -> Query:
@@ -28,7 +28,7 @@ def _gold_check(name: str) -> Query:
 
 
 def _reconciled(*names: str) -> Query:
-    return _over(lambda x: reconcile.checks(x.bronze, x.silver, x.gold, names=list(names) or None), StagedLayers)
+    return _over(lambda x: reconcile.checks(x.bronze, x.silver, names=list(names) or None))
 
 
 QUERIES: dict[str, Query] = {
@@ -73,7 +73,7 @@ QUERIES: dict[str, Query] = {
     "dq_npl_ratio_range": _gold_check(quality.RATIO_RANGE),
     "dq_provision_vs_balance": _gold_check(quality.PROVISION_LIMIT),
     "dq_monthly_completeness": _over(lambda x: quality.completeness_check(x.gold, CHECKED_YEAR)),
-    "dq_results": _over(lambda x: quality.checks(x.silver, x.gold, CHECKED_YEAR), StagedLayers),
+    "dq_results": _over(lambda x: quality.checks(x.silver, None, CHECKED_YEAR)),
     # Reconciliation
     "recon_count_bronze_silver": _reconciled(reconcile.BRONZE_SILVER),
     "recon_count_silver_gold": _reconciled(reconcile.SILVER_GOLD),
@@ -81,6 +81,10 @@ QUERIES: dict[str, Query] = {
     "recon_provision": _reconciled(reconcile.PROVISION),
     "recon_npl_count": _reconciled(reconcile.NPL_COUNT),
     "recon_results": _reconciled(),
+    # The same over layers spoilt on purpose: every check fails
+    "dq_results_spoilt": _over(lambda x: quality.checks(given.spoilt_silver(x.silver), given.spoilt_gold(x.gold), CHECKED_YEAR)),
+    "recon_results_spoilt": _over(
+        lambda x: reconcile.checks(x.bronze, given.spoilt_silver(x.silver), given.spoilt_gold(x.gold))),
     # Reports
     "report_credit_risk_summary": _over(lambda x: reports.credit_risk_summary(x.gold)),
     "report_npl_monthly": _over(lambda x: reports.npl_breakdown(x.silver, "txn_month")),
@@ -102,9 +106,9 @@ QUERIES: dict[str, Query] = {
     "diag_silver_nulls": _over(lambda x: diagnostics.silver_nulls(x.silver)),
     "diag_status_totals": _over(lambda x: diagnostics.status_totals(x.silver)),
     "diag_fx_used": _over(lambda x: diagnostics.fx_used(x.silver)),
-    "diag_quick_recon": _over(lambda x: diagnostics.quick_recon(x.silver, x.gold), StagedLayers),
+    "diag_quick_recon": _over(lambda x: diagnostics.quick_recon(x.silver)),
     "diag_quarantine_reasons": _over(lambda x: diagnostics.quarantine_reasons(x.quarantine)),
-    "diag_layer_counts": _over(lambda x: diagnostics.layer_counts(x.bronze, x.silver, x.gold), StagedLayers),
+    "diag_layer_counts": _over(lambda x: diagnostics.layer_counts(x.bronze, x.silver)),
     "diag_rate_by_delinquency": _over(lambda x: diagnostics.rate_by_delinquency(x.silver)),
     "diag_default_audit": _over(lambda x: diagnostics.default_audit(x.silver)),
     # Run log
@@ -116,4 +120,5 @@ QUERIES: dict[str, Query] = {
     "rule_month_end_snapshot": _over(lambda x: rules.month_end(x.silver).select(
         "account_id", "txn_month", "txn_id", "txn_timestamp", "orig_balance_thb", "loan_status")),
     "rule_npl_anomaly": _over(lambda x: rules.npl_anomaly(x.gold)),
+    "rule_npl_anomaly_critical": _over(lambda x: rules.npl_anomaly(x.gold, rules.CRITICAL_ABOVE)),
 }

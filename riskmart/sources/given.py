@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart import session
-from riskmart.spec import LOAD_SEQ
+from riskmart.spec import LOAD_SEQ, STAGES
 
 CURRENCIES = {"USD": "34.1234", "EUR": "37.5678", "GBP": "43.4321", "Local": None}
 MISSING_RATE = ("1998-02", "GBP")
@@ -51,7 +50,7 @@ def transaction_expressions(order_time: str) -> dict[str, str]:
         "cust_age": "case when o_orderkey % 109 = 13 then '12.0' else cast(22 + o_custkey % 40 as string) end",
         "cust_gender": _choice("o_custkey", ["M", "F"]),
         "cust_marital_status": _choice("o_custkey", ["Single", "Married", "Divorced", "Widowed"]),
-        "cust_dependents": "cast(o_custkey % 5 as string)",
+        "cust_dependents": "case when o_orderkey % 131 = 23 then '99999999999' else cast(o_custkey % 5 as string) end",
         "cust_education": _choice("o_custkey", ["High_School", "Undergraduate", "Postgraduate", "Doctorate"]),
         "cust_employment_status": _choice(
             "o_custkey", ["Employed", "Self-Employed", "Unemployed", "Retired", "Student"]),
@@ -87,7 +86,8 @@ def transaction_expressions(order_time: str) -> dict[str, str]:
         "orig_balance_after": _money("c_acctbal"),
         "dest_balance_before": _money("500"),
         "dest_balance_after": _money("600"),
-        "monthly_avg_inflow": _money("1000 + o_custkey % 100"),
+        "monthly_avg_inflow": "case when o_orderkey % 137 = 29 then '1234567890123456.00' else "
+            + _money("1000 + o_custkey % 100") + " end",
         "monthly_avg_outflow": _money("900 + o_custkey % 100"),
         "overdraft_limit_usd": _money("1000"),
         "days_in_overdraft_l12m": "cast(o_custkey % 30 as string)",
@@ -99,7 +99,7 @@ def transaction_expressions(order_time: str) -> dict[str, str]:
         "risk_score_internal": "cast(494 + o_custkey % 300 as string)",
         "bureau_credit_score": "cast(519 + o_custkey % 265 as string)",
         "device_type": _choice("o_orderkey", ["iOS", "Android", "Windows", "MacOS", "Linux"]),
-        "device_ip_country": _choice("o_orderkey", ["US", "TH", "CN", "RU"]),
+        "device_ip_country": _choice("o_orderkey", ["US", "TH", "NA", "RU"]),
         "is_vpn_used": _flag("o_orderkey", 7),
         "login_attempts_fail_count": "cast(o_orderkey % 4 as string)",
         "txn_velocity_1h": "cast(o_orderkey % 8 as string)",
@@ -122,17 +122,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def transaction_source(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions as a source file would hold them, plus the load position.
 
-    Region is joined to the customers, not to the orders. Converting a row is heavy next to reading it, so the rows of
-    a small orders file are dealt out to all cores first. No join carries a hint: Spark broadcasts a side only when
-    its size allows, and splits skewed customers when it joins by shuffle.
+    Region is joined to the customers, not to the orders; an order without a customer stays, its customer's columns
+    empty. No join carries a hint: Spark broadcasts a side only when its size allows, and splits skewed customers when
+    it joins by shuffle.
     """
     customers = (_table(spark, folder, "customer")
                  .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
                  .join(_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
                  .select("c_custkey", "c_acctbal", "c_mktsegment", "r_name"))
-    joined = _table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    rows = session.spread(joined, session.path_bytes(spark, f"{folder}/orders.parquet"))
-    columns = transaction_expressions("substring(cast(o_orderdate as string), 1, 19)")
+    rows = _table(spark, folder, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+    columns = transaction_expressions("cast(o_orderdate as string)")
     return rows.selectExpr(*[f"{sql} as {header(name)}" for name, sql in columns.items()],
                            f"o_orderkey as {LOAD_SEQ}")
 
@@ -153,9 +152,45 @@ def fx_source(spark: SparkSession, folder: str) -> DataFrame:
                         "cast(rate as string) as Rate_To_Thb", "'bank' as Source"))
 
 
-# The stage names of a full run, in order.
-STAGES = ["load_raw_transaction", "load_fx_rate", "bronze_transform", "silver_transform", "gold_aggregate",
-          "data_quality", "reconciliation", "export_report"]
+_KEY_NUMBER = "cast(substring(txn_id, 5) as bigint)"
+_IN_DEFAULT = "target_credit_default"
+
+# Columns of Silver and Gold spoilt by key, so that each check has rows that fail it; SQL that both engines read.
+SPOILT_SILVER = {
+    "cust_id": f"case when {_KEY_NUMBER} % 31 = 1 then null else cust_id end",
+    "fx_rate_to_thb": f"case when {_KEY_NUMBER} % 41 = 3 then 0 else fx_rate_to_thb end",
+    "orig_balance_thb": f"case when {_KEY_NUMBER} % 43 = 4 then -1 else orig_balance_thb end",
+    "loan_status": f"case when {_KEY_NUMBER} % 47 = 5 then 'Unknown' when {_IN_DEFAULT} and {_KEY_NUMBER} % 3 = 1 "
+                   "then 'Performing' else loan_status end",
+    "provision_rate": f"case when {_IN_DEFAULT} and {_KEY_NUMBER} % 2 = 1 then 0.5 else provision_rate end",
+}
+REPEATED_SILVER = f"{_KEY_NUMBER} % 37 = 2"
+_MONTH = "substring(report_month, 6, 2)"
+SPOILT_GOLD = {
+    "total_accounts": f"case when {_MONTH} = '08' then total_accounts + 1 else total_accounts end",
+    "outstanding_balance_thb": f"case when {_MONTH} = '04' then outstanding_balance_thb + 2 "
+                               f"when {_MONTH} = '05' then 0 else outstanding_balance_thb end",
+    "npl_accounts": f"case when {_MONTH} = '06' then npl_accounts + 1 else npl_accounts end",
+    "npl_ratio_pct": f"case when {_MONTH} = '03' then 150 else npl_ratio_pct end",
+    "total_provision_thb": f"case when {_MONTH} = '09' then total_provision_thb + 3 else total_provision_thb end",
+}
+LOST_MONTH = f"{_MONTH} = '07'"
+
+
+def _spoilt(layer: DataFrame, changes: dict[str, str]) -> DataFrame:
+    types = {f.name: f.dataType.simpleString() for f in layer.schema}
+    return layer.selectExpr(*[f"cast({changes[c]} as {types[c]}) as {c}" if c in changes else c for c in layer.columns])
+
+
+def spoilt_silver(silver: DataFrame) -> DataFrame:
+    """Silver with values that fail every row check, and some rows twice."""
+    return _spoilt(silver, SPOILT_SILVER).withColumn(
+        "_times", F.expr(f"explode(case when {REPEATED_SILVER} then array(1, 2) else array(1) end)")).drop("_times")
+
+
+def spoilt_gold(gold: DataFrame) -> DataFrame:
+    """Gold with figures that fail its checks and reconciliations, and a month lost in each year."""
+    return _spoilt(gold, SPOILT_GOLD).where(f"not ({LOST_MONTH})")
 
 
 def run_log_events(spark: SparkSession, folder: str) -> DataFrame:
