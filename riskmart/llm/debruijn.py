@@ -6,20 +6,22 @@ repeated if it occurs in two documents; its source is its place in the document
 document each word under a repeated edge is removed.
 
 Steps, none of which gathers more than one document's own words in a place:
+0. Copies: texts are known by two hashes. Of equal texts the document with the smallest doc_id leads; in the others
+   every window repeats, so they need no graph.
 1. Sieve: of each window only its minimizer, the smallest hash of `MINI` words in it, is counted. Equal windows have
-   equal minimizers, and neighbours share theirs, so a fifth of the windows' number is shuffled, pre-aggregated. Only
-   windows whose minimizer occurs in two documents go on.
+   equal minimizers, and neighbours share theirs, so a quarter of the windows' number is shuffled, pre-aggregated. Only
+   windows of leaders whose minimizer occurs in two different texts go on.
 2. Edges: windows that are left are aggregated to edges with their source, again partially before the shuffle.
 3. Compaction: nodes with more than one edge in or out are found by aggregation and joined to the edges; edges that
    follow one another in a source without such a node between form one path.
-4. Marks: windows join edges; a document's marks meet its text once, where covered words leave. Runs of marks along a
-   path are spans (start, n_words, source document, start there).
+4. Spans: windows join edges; those that follow one another in a document and along a path become one span (start,
+   n_words, source document, start there). A document's spans meet its text once, where covered words leave.
 5. Verification: every span's words are compared with those at its source coordinates, by a digest of the words. If any
    differ, two passages share hashes, and all is done again under another seed.
 
 Defined cases: null text has no words; documents of fewer than K words lose none; null doc_id comes after all others, and
-such documents do not repeat one another; rows with the same doc_id are one document for judging, each keeps its own
-words; an empty table gives an empty result; extra columns take no part.
+such documents do not repeat one another; rows with the same doc_id do not repeat one another either; an empty table
+gives an empty result; extra columns take no part.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from riskmart.llm import store, words
 
 K = 13
-MINI = 5
+MINI = 7
 LAST = 2**63 - 1  # stands for a null doc_id
 
 SPAN = "struct<start: long, n_words: long, src_doc: long, src_start: long, digest: binary>"
@@ -82,12 +84,12 @@ def _sieve(seed: int):
         for batch in words.chunks(batches):
             mini, text = Windows(batch.column("text"), seed).minimizers()
             if len(mini):
-                doc = _longs(batch.column("doc"))[text]
-                order = np.lexsort((doc, mini))
-                mini, doc = mini[order], doc[order]
+                own = _longs(batch.column("h1"))[text]
+                order = np.lexsort((own, mini))
+                mini, own = mini[order], own[order]
                 first = np.flatnonzero(np.concatenate([[True], mini[1:] != mini[:-1]]))
                 last = np.concatenate([first[1:], [len(mini)]]) - 1
-                yield pa.RecordBatch.from_arrays([_long(mini[first]), _long(doc[first]), _long(doc[last])],
+                yield pa.RecordBatch.from_arrays([_long(mini[first]), _long(own[first]), _long(own[last])],
                                                  names=["mini", "low", "high"])
     return rows
 
@@ -96,8 +98,8 @@ def _own(seed: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.chunks(batches):
             mini, text = Windows(batch.column("text"), seed).minimizers()
-            yield pa.RecordBatch.from_arrays([_long(mini), _long(_longs(batch.column("doc"))[text])],
-                                             names=["mini", "doc"])
+            yield pa.RecordBatch.from_arrays([_long(mini), _long(_longs(batch.column("h1"))[text])],
+                                             names=["mini", "h1"])
     return rows
 
 
@@ -117,24 +119,31 @@ def _candidates(seed: int):
             own = words.mix(windows.mini ^ words.mix(windows.text.astype(np.uint64)))
             hit = np.isin(own, mark)  # a chance hit only lets one window more through
             place = windows.at - windows.words.bounds[windows.text]
+            row = windows.text[hit]
             yield pa.RecordBatch.from_arrays(
-                [_long(_longs(batch.column("doc"))[windows.text[hit]]), _long(place[hit]), _long(windows.begin[hit]),
-                 _long(windows.end[hit])], names=["doc", "pos", "head", "tail"])
+                [_long(_longs(batch.column("doc"))[row]), pa.array(np.asarray(batch.column("version"), np.int32)[row]),
+                 pa.array(place[hit].astype(np.int32)), _long(windows.begin[hit]), _long(windows.end[hit])],
+                names=["doc", "version", "pos", "head", "tail"])
     return rows
 
 
-def edges(texts: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(windows that may repeat, repeated edges with their source); `texts` has doc and text."""
-    sieved = texts.mapInArrow(_sieve(seed), "mini long, low long, high long")
+def edges(texts: DataFrame, classes: DataFrame, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(windows of leaders that may repeat, repeated edges with their source); `texts` has doc, text, h1 and h2."""
+    sieved = texts.select("text", "h1").mapInArrow(_sieve(seed), "mini long, low long, high long")
     common = store.stage(sieved.groupBy("mini").agg(F.min("low").alias("low"), F.max("high").alias("high"))
                          .where("low < high").select("mini"), "common")
-    own = texts.mapInArrow(_own(seed), "mini long, doc long").join(common, "mini")
-    own = store.stage(own.groupBy("doc").agg(F.collect_set("mini").alias("minis")), "minis")
-    windows = store.stage(texts.join(own, "doc").select("doc", "text", "minis").mapInArrow(
-        _candidates(seed), "doc long, pos long, head long, tail long"), "windows")
+    own = texts.select("text", "h1").mapInArrow(_own(seed), "mini long, h1 long").join(common, "mini")
+    own = store.stage(own.groupBy("h1").agg(F.collect_set("mini").alias("minis")), "minis")
+    leaders = classes.join(own, "h1").select(F.col("leader").alias("doc"), "version", "h1", "h2", "minis")
+    # What grows with the documents is never broadcast, so that plans are the same at every size.
+    windows = store.stage(texts.join(leaders.hint("merge"), ["doc", "h1", "h2"]).select("doc", "version", "text", "minis").mapInArrow(
+        _candidates(seed), "doc long, version int, pos int, head long, tail long"), "windows")
     found = windows.groupBy("head", "tail").agg(
         F.min("doc").alias("src_doc"), F.max("doc").alias("high"), F.min_by("pos", "doc").alias("src_pos"))
-    return windows, store.stage(found.where("src_doc < high").drop("high"), "edges")
+    found = store.stage(found.where("src_doc < high").drop("high"), "edges")
+    store.discard(common)
+    store.discard(own)
+    return windows, found
 
 
 def paths(found: DataFrame) -> DataFrame:
@@ -151,6 +160,25 @@ def paths(found: DataFrame) -> DataFrame:
     return begins.withColumn("path", F.max(F.when(F.col("begins"), F.col("src_pos"))).over(run)).drop("fork", "begins")
 
 
+def spans(windows: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, version, start, n_words, src_doc, src_start): runs of repeated windows along one path; start in words from 0.
+
+    Windows meet edges by one hash of both nodes, to shuffle less; that a span's words are its source's is verified.
+    """
+    edge = F.xxhash64("head", "tail").alias("edge")
+    known = paths(found).select(edge, "src_doc", "src_pos", "path")
+    marked = windows.select(edge, "doc", "version", "pos").join(known, "edge").where("doc > src_doc").drop("edge")
+    text = Window.partitionBy("doc", "version").orderBy("pos")
+    step = F.col("pos") - F.lag("pos").over(text)
+    follows = ((step <= 1) & (F.col("src_pos") - F.lag("src_pos").over(text) == step)
+               & (F.lag("src_doc").over(text) == F.col("src_doc")) & (F.lag("path").over(text) == F.col("path")))
+    begins = marked.withColumn("begins", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
+    run = F.sum("begins").over(text.rowsBetween(Window.unboundedPreceding, 0))
+    return begins.withColumn("run", run).groupBy("doc", "version", "run").agg(
+        F.min("pos").cast("long").alias("start"), (F.max("pos") - F.min("pos") + K).cast("long").alias("n_words"),
+        F.min("src_doc").alias("src_doc"), F.min("src_pos").cast("long").alias("src_start")).drop("run")
+
+
 def joined_words(found: words.Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, bounds by text, begin of each kept word): the kept words of each text with one space between them."""
     starts, ends = found.starts[keep], found.ends[keep]
@@ -171,54 +199,35 @@ def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _cut(seed: int, as_hash: bool, columns: list[str]):
-    """Removes marked words; `kept` is the text that is left, or its SHA-256."""
+def _cut(as_hash: bool, columns: list[str]):
+    """Removes the words of the spans in `marks`, -1 words being all; `kept` is what is left, or its SHA-256."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.chunks(batches):
-            windows = Windows(batch.column("text"), seed)
-            found = windows.words
+            found = words.find(batch.column("text"), hashed=False)
             row, marks = _flat(batch.column("marks"))
-            part = {c: _longs(marks.field(i)) for i, c in enumerate(("head", "tail", "src_doc", "src_pos", "path"))}
-            key = words.mix(part["head"].view(np.uint64) + words.mix(
-                part["tail"].view(np.uint64) + words.mix(row.astype(np.uint64))))
-            own = words.mix(windows.begin + words.mix(windows.end + words.mix(windows.text.astype(np.uint64))))
-            order = np.argsort(key)
-            place = order[np.minimum(np.searchsorted(key[order], own), len(key) - 1)] if len(key) else np.zeros(len(own), int)
-            hit = np.zeros(len(own), bool)
-            if len(key):
-                hit = (key[place] == own) & (row[place] == windows.text) & (part["head"][place].view(np.uint64)
-                                                                            == windows.begin)
-            at, place = windows.at[hit], place[hit]
+            start, n, src_doc, src_start = (_longs(marks.field(i)) for i in range(4))
+            n = np.where(n < 0, found.counts[row], n)
+            usable = (n >= K) & (start + n <= found.counts[row])
+            row, start, n, src_doc, src_start = (x[usable] for x in (row, start, n, src_doc, src_start))
+            first = found.bounds[row] + start
             cover = np.zeros(len(found.starts) + 1, np.int64)
-            cover[at] += 1
-            np.subtract.at(cover, at + K, 1)
+            np.add.at(cover, first, 1)
+            np.subtract.at(cover, first + n, 1)
             gone = np.cumsum(cover[:-1]) > 0
-            text = found.text_of
-            whole, _, begins = joined_words(found, np.ones(len(text), bool))
+            whole, _, begins = joined_words(found, np.ones(len(gone), bool))
             whole, finish = memoryview(whole.tobytes()), begins + (found.ends - found.starts)
-            spans: list[list] = [[] for _ in range(batch.num_rows)]
-            if len(at):
-                src, pos, path = (part[c][place] for c in ("src_doc", "src_pos", "path"))
-                new = np.ones(len(at), bool)
-                new[1:] = ((np.diff(at) != 1) | (text[at][1:] != text[at][:-1]) | (np.diff(src) != 0)
-                           | (np.diff(pos) != 1) | (np.diff(path) != 0))
-                first = np.flatnonzero(new)
-                last = np.concatenate([first[1:], [len(at)]]) - 1
-                for a, b in zip(first.tolist(), last.tolist()):
-                    t, w, z = int(text[at[a]]), int(at[a]), int(at[b]) + K - 1
-                    spans[t].append((w - int(found.bounds[t]), z - w + 1, int(src[a]), int(pos[a]),
-                                     _digest(whole[begins[w]:finish[z]])))
+            listed: list[list] = [[] for _ in range(batch.num_rows)]
+            for t, a, w, m, d, z in zip(*(x.tolist() for x in (row, first, start, n, src_doc, src_start))):
+                listed[t].append({"start": w, "n_words": m, "src_doc": d, "src_start": z,
+                                  "digest": _digest(whole[begins[a]:finish[a + m - 1]])})
             kept, bounds, _ = joined_words(found, ~gone)
             limits, kept = bounds.tolist(), kept.tobytes()
             texts = [kept[a:b] for a, b in zip(limits, limits[1:])]
             removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[found.bounds])
-            values = ([hashlib.sha256(x).hexdigest() for x in texts] if as_hash else
-                      [x.decode() for x in texts])
-            names = ["start", "n_words", "src_doc", "src_start", "digest"]
+            values = [hashlib.sha256(x).hexdigest() for x in texts] if as_hash else [x.decode() for x in texts]
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(columns).columns, _long(found.counts), _long(removed), pa.array(values, pa.string()),
-                 pa.array([[dict(zip(names, s)) for s in x] for x in spans], _SPANS)],
-                names=[*columns, "n_words", "n_removed", "kept", "spans"])
+                 pa.array(listed, _SPANS)], names=[*columns, "n_words", "n_removed", "kept", "spans"])
     return rows
 
 
@@ -240,32 +249,53 @@ def _source_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["src_doc", "src_start", "n_words", "digest"])
 
 
-def unverified(spans: DataFrame, texts: DataFrame) -> int:
+def unverified(claimed: DataFrame, texts: DataFrame) -> int:
     """How many spans have words other than those at their source coordinates."""
     keys = ["src_doc", "src_start", "n_words", "digest"]
-    claims = spans.select(*keys).distinct()
+    claims = store.stage(claimed.select(*keys).distinct(), "claims")
     wanted = claims.groupBy(F.col("src_doc").alias("doc")).agg(F.collect_set(F.struct("src_start", "n_words")).alias("wanted"))
-    true = texts.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(
+    true = texts.join(wanted.hint("merge"), "doc").select("doc", "text", "wanted").mapInArrow(
         _source_digests, "src_doc long, src_start long, n_words long, digest binary")
     return claims.join(true, keys, "left_anti").count()
 
 
 def remove(docs: DataFrame, as_hash: bool = False, seed: int = 0) -> DataFrame:
     """Per row of `docs`: the struct `row` of its columns, n_words, n_removed, kept and spans (see the module)."""
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
-    texts = docs.select(doc, "text")
-    windows, found = edges(texts, seed)
-    marked = windows.join(paths(found), ["head", "tail"]).where("doc > src_doc").groupBy("doc").agg(
-        F.collect_set(F.struct("head", "tail", "src_doc", "src_pos", "path")).alias("marks"))
-    # The row's columns pass through under names of their own, so that they clash with nothing; the text only once.
-    named = {c: "text" if c == "text" else f"_own{i}" for i, c in enumerate(["doc_id"] if as_hash else docs.columns)}
-    rows = docs.select(doc, "text", *(F.col(f"`{c}`").alias(n) for c, n in named.items() if c != "text"))
-    flat = rows.join(marked, "doc", "left").drop("doc")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema
-                          if f.name in named.values()), KEPT])
-    cut = store.stage(flat.mapInArrow(_cut(seed, as_hash, [x for x in flat.columns if x in named.values()]), schema), "cut")
-    if unverified(cut.select(F.explode("spans").alias("s")).select("s.*"), texts):
+    # Chained hashes of several values depend on the first alone, so the seed comes before the text.
+    known = [F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text",
+             F.xxhash64(F.lit(1), "text").alias("h1"), F.xxhash64(F.lit(2), "text").alias("h2")]
+    texts = docs.select(*known)
+    classes = texts.groupBy("h1", "h2").agg(F.min("doc").alias("leader"))
+    # Texts that share a leading doc_id, which tables should not have, are told apart by a small number.
+    version = F.row_number().over(Window.partitionBy("leader").orderBy("h1", "h2"))
+    classes = store.stage(classes.withColumn("version", version), "classes")
+    windows, found = edges(texts, classes, seed)
+    runs = store.stage(spans(windows, found), "spans")
+    store.discard(windows)
+    store.discard(found)
+    mark = ["start", "n_words", "src_doc", "src_start"]
+    copies = texts.select("doc", "h1", "h2").join(classes, ["h1", "h2"]).where("doc > leader").select(
+        "doc", "h1", F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("n_words"),
+        F.col("leader").alias("src_doc"), F.lit(0).cast("long").alias("src_start"))
+    led = classes.select(F.col("leader").alias("doc"), "version", "h1")
+    marks = runs.join(led, ["doc", "version"]).select("doc", "h1", *mark).unionByName(copies).groupBy("doc", "h1").agg(
+        F.collect_set(F.struct(*mark)).alias("marks"))
+    marks = store.stage(marks, "marks")
+    store.discard(runs)
+    checked = store.stage(_cut_rows(docs.select("doc_id", "text"), known, marks, True), "cut")
+    if unverified(checked.select(F.explode("spans").alias("s")).select("s.*"), texts.select("doc", "text")):
         return remove(docs, as_hash, seed + 1)
+    return checked if as_hash else _cut_rows(docs, known, marks, False)
+
+
+def _cut_rows(docs: DataFrame, known: list, marks: DataFrame, as_hash: bool) -> DataFrame:
+    """Rows with their own columns in the struct `row`. Texts are shuffled once, marks are few; never broadcast."""
+    # Columns pass through under names of their own, so that they clash with nothing; the text only once.
+    named = {c: "text" if c == "text" else f"_own{i}" for i, c in enumerate(docs.columns) if c != "text" or not as_hash}
+    rows = docs.select(*known[:3], *(F.col(f"`{c}`").alias(n) for c, n in named.items() if c != "text"))
+    flat = rows.join(marks.hint("merge"), ["doc", "h1"], "left").drop("doc", "h1")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema if f.name in named.values()), KEPT])
+    cut = flat.mapInArrow(_cut(as_hash, [x for x in flat.columns if x in named.values()]), schema)
     return cut.select(F.struct(*(F.col(n).alias(c) for c, n in named.items())).alias("row"), "n_words", "n_removed",
                       "kept", "spans")
 

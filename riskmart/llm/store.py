@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from riskmart import session
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+PAUSE = 0.5  # seconds
+
 
 def workers(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package where executors see the same files; elsewhere ship it with --py-files."""
@@ -31,13 +34,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     The stored table cuts the lineage, survives lost executors and has a size that Spark knows, so that joins with it
     are broadcast only below the session's threshold. Shuffle files of the finished job are released at once: Spark
-    deletes them when the driver's objects for them are collected.
+    deletes them when the driver's objects for them are collected, which its listeners hold for a moment longer.
     """
     spark = df.sparkSession
     path = folder(spark, name)
     df.write.parquet(path)
+    time.sleep(PAUSE)
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.staged_at = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a staged table that nothing later reads: what was derived from it must be staged itself."""
+    path = stored.sparkSession._jvm.org.apache.hadoop.fs.Path(stored.staged_at)
+    path.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
