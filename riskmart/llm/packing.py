@@ -29,6 +29,7 @@ SIZE = 4096
 END = 1
 ROUNDS = 192
 DECAY = 6.0
+LONGER = 1.2  # long pieces, which leave the worst gaps later, weigh more than in proportion
 GROUP_ROWS, GROUPS = 1000, 4096  # pieces of one length are ranked in groups
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -82,8 +83,8 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, size: int) -> dict[int, in
 def fractional(counts: dict[int, int], size: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
     """Uses of configurations by multiplicative weights.
 
-    A length weighs its size times exp(-DECAY * covered share), nothing once it is covered, so that full sequences of
-    little covered lengths win. Each round uses its configuration until one of its lengths is covered.
+    A length weighs its size ** LONGER times exp(-DECAY * covered share), nothing once it is covered, so that full
+    sequences of long and little covered lengths win. Each round uses its configuration until one of its lengths is covered.
     """
     lengths = np.array(sorted(counts))
     demand = np.array([counts[x] for x in lengths.tolist()], float)
@@ -94,7 +95,7 @@ def fractional(counts: dict[int, int], size: int, rounds: int = ROUNDS) -> list[
         open_ = np.flatnonzero(covered < demand)
         if not len(open_):
             break
-        weights = lengths[open_] * np.exp(-DECAY * covered[open_] / demand[open_])
+        weights = lengths[open_] ** LONGER * np.exp(-DECAY * covered[open_] / demand[open_])
         config = knapsack(lengths[open_], weights, size)
         use = min((demand[at[x]] - covered[at[x]]) / k for x, k in config.items())
         uses.append((config, use))

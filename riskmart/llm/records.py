@@ -155,6 +155,8 @@ def parse(block: bytes, check: bool = True) -> tuple[list[tuple[int | None, np.n
     while at + 12 <= len(block):
         n, head = struct.unpack_from("<QI", block, at)
         if at + 16 + n > len(block):
+            if check:
+                _frame_size(block[at:at + 12])  # a frame that goes on, not a wrong length
             break
         data.append((n, head, view[at + 12:at + 12 + n], struct.unpack_from("<I", block, at + 12 + n)[0]))
         at += 16 + n
