@@ -23,7 +23,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 HOST_LIMIT = 0.5
-STRENGTH = (1.0, 1000.0)  # bounds of the prior's weight in documents
+STRENGTH = (10.0, 1000.0)  # bounds of the prior's weight in documents
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -84,35 +84,48 @@ def host_rates(judged: DataFrame) -> DataFrame:
 def prior(mean: float | None, var: float | None) -> tuple[float, float]:
     """Beta parameters with the given moments; their sum stays within STRENGTH."""
     if mean is None:
-        return 0.5, 0.5
+        return STRENGTH[0] / 2, STRENGTH[0] / 2  # no hosts at all
     weight = mean * (1 - mean) / var - 1 if var else STRENGTH[1]
     weight = min(max(weight, STRENGTH[0]), STRENGTH[1])
     return mean * weight, (1 - mean) * weight
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text", host_limit: float = HOST_LIMIT,
-          keep_rows: bool = True) -> DataFrame:
-    """Counts, base_failed, failed, host_rate and kept of each row, and the row itself as struct `row`.
+def judge(docs: DataFrame, host: str = "source", text: str = "text", host_limit: float = HOST_LIMIT) -> DataFrame:
+    """doc_id (in the struct `row`), host, counts, base_failed, failed, host_rate and kept of each row.
 
     The counts are stored once; the host table is joined back by shuffle with skew splitting, or broadcast when its
-    stored size is below the session's threshold. Without `keep_rows`, `row` has only doc_id.
+    stored size is below the session's threshold.
     """
     rows = measure(docs, text)
-    rows = rows.select(("row" if keep_rows else F.struct("row.doc_id").alias("row")), F.col(f"row.{host}").alias("host"),
-                       *COUNTS, base_failed().alias("base_failed"), failed().alias("failed"))
+    rows = rows.select(F.struct("row.doc_id").alias("row"), F.col(f"row.{host}").alias("host"), *COUNTS, base_failed().alias("base_failed"), failed().alias("failed"))
     judged = store.stage(rows, "quality")
     rates = host_rates(judged).select(F.col("host").alias("_host"), "host_rate")
     joined = judged.join(rates, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~((F.col("host_rate") >= host_limit) & F.col("failed")))
+    return joined.withColumn("kept", _kept(host_limit))
+
+
+def _kept(host_limit: float) -> Column:
+    """One condition that names both sides of the join with the hosts. A part of it that named the document alone would be
+    pushed below the projections of the counts, which then would be computed anew for every word."""
+    return F.when(F.col("host_rate") >= host_limit, ~F.col("failed")).otherwise(~F.col("base_failed"))
 
 
 def kept_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows that are kept, with their own columns only."""
-    return judge(docs, **options).where("kept").select("row.*")
+    """The rows that are kept, with their own columns only.
+
+    Counts are computed once for the hosts and again for the rows: cheaper than to store or shuffle whole texts.
+    """
+    host = options.get("host", "source")
+    counts = measure(docs, options.get("text", "text")).select(F.col(f"row.{host}").alias("host"), failed().alias("failed"))
+    rates = host_rates(store.stage(counts, "quality")).select(F.col("host").alias("_host"), "host_rate")
+    rows = measure(docs, options.get("text", "text"))
+    judged = rows.select("row", F.col(f"row.{host}").alias("host"), base_failed().alias("base_failed"), failed().alias("failed"))
+    joined = judged.join(store.stage(rates, "host-rates"), F.col("host").eqNullSafe(F.col("_host")), "left")
+    return joined.where(_kept(options.get("host_limit", HOST_LIMIT))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return judge(store.table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_rows=False).select(
+    return judge(store.table(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "row.doc_id", *COUNTS, "base_failed", "kept")
 
 
