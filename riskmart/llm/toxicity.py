@@ -82,7 +82,7 @@ def windows(bounds: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarra
     n = np.diff(bounds)
     many = np.where(n > 0, np.maximum(1, -(-(n - SIZE) // step) + 1), 0)
     text = np.repeat(np.arange(len(n)), many)
-    begin = (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * STEP
+    begin = (np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)) * step
     at = begin[:, None] + np.arange(SIZE)
     return np.where(at < n[text][:, None], at + bounds[text][:, None], -1), text
 

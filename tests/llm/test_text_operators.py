@@ -104,6 +104,15 @@ def test_all_windows_cover_every_word():
         assert set(at[at >= 0].tolist()) == set(range(n))
 
 
+@pytest.mark.parametrize("step", [1, 7, toxicity.STEP, toxicity.SIZE])
+def test_windows_of_any_step_cover_every_word_of_each_text(step):
+    bounds = np.cumsum([0, 1, 23, 24, 0, 25, 48, 49, 100, 2400])
+    at, text = toxicity.windows(bounds, step)
+    for i, (begin, end) in enumerate(zip(bounds, bounds[1:])):
+        mine = at[text == i]
+        assert set(mine[mine >= 0].tolist()) == set(range(begin, end))
+
+
 def test_toxic_documents_of_the_unseen_fold(spark):
     folder = "/root/testdata/sf0.1"
     truth = {r["doc_id"]: r["toxic"] for r in store.table(spark, folder, "labels").collect()}
