@@ -3,9 +3,11 @@
 Words are lower-cased runs of ASCII letters and digits and of all other characters beyond ASCII. A mask of ones and
 zeros is laid over every window of a benchmark item and of a document; the words under its ones are hashed, those under
 zeros ignored, so that a replaced word spoils only the masks that look at it. Where hashes of both sides meet, the two
-texts are compared word by word along that alignment: the overlap is the stretch with the greatest (equal words) - 2 *
-(replaced words). It counts from `MIN_WORDS` words with at least `MIN_SAME` percent equal, or, for a shorter item, if it
-is the whole item. Items of fewer than `MIN_ITEM` words say too little and match nothing.
+texts are compared word by word along that alignment: the overlap is the longest stretch that begins and ends with an
+equal word and has at least `MIN_SAME` percent equal words. It counts from `MIN_WORDS` words, or, for a shorter item, if
+it is the whole item. Items of fewer than `MIN_ITEM` words say too little and match nothing.
+Items of fewer than `MIN_WORDS` words have masks of their own size that find each such overlap; for longer ones a
+passage with a replaced word in every few may have no seed.
 
 The seeds of the benchmark go to the tasks in blocks of at most `BLOCK_WORDS` words; a larger benchmark takes more
 passes over the documents. Documents are not shuffled.
@@ -17,6 +19,7 @@ is judged by itself; empty tables give an empty result; extra columns take no pa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 from math import ceil
 
 import numpy as np
@@ -33,6 +36,14 @@ FOUND = "doc_id long, item_id long, doc_start long, item_start long, n_words lon
 _FILTER_BITS = 20
 
 
+def short_masks(n: int) -> list[str]:
+    """Masks over a whole item of `n` words: wherever as many words are replaced as may be, one mask ignores them all."""
+    replaced = n * (100 - MIN_SAME) // 100
+    groups = 3 if replaced == 1 else 4
+    return ["".join("0" if 0 < i < n - 1 and i % groups in zeros else "1" for i in range(n))
+            for zeros in combinations(range(groups), replaced)]
+
+
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     """Hash of the words under the mask's ones for each window, by its start."""
     room = max(len(hashes) - len(mask) + 1, 0)
@@ -44,12 +55,17 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int]:
-    """[begin, end) with the greatest number of equal less twice that of different words; the first such."""
-    sums = np.concatenate([[0], np.cumsum(np.where(same, 1, -2))])
-    gain = sums - np.minimum.accumulate(sums)
-    end = int(gain.argmax())
-    begin = int(np.flatnonzero(sums[:end + 1] == sums[:end + 1].min())[-1])
-    return begin, end
+    """[begin, end) of the longest stretch from an equal to an equal word with `MIN_SAME` percent equal; the first such."""
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return 0, 0
+    # A stretch passes if the sum does not fall from its begin to its end; each end takes its earliest such begin.
+    sums = np.concatenate([[0], np.cumsum(np.where(same, 100 - MIN_SAME, -MIN_SAME))])
+    low = np.minimum.accumulate(sums[starts])
+    ends = starts + 1
+    begins = starts[np.searchsorted(-low, -sums[ends])]
+    best = int((ends - begins).argmax())
+    return int(begins[best]), int(ends[best])
 
 
 def counts(begin: int, end: int, same: np.ndarray, item_words: int) -> bool:
@@ -66,15 +82,16 @@ class Block:
         self.hashes, self.bounds = found.hashes, found.bounds
         sizes = found.counts
         usable = np.repeat(sizes >= MIN_ITEM, sizes)
-        # Items shorter than a mask are looked up by their first MIN_ITEM words.
-        self.masks = [*MASKS, *(["1" * MIN_ITEM] if ((sizes >= MIN_ITEM) & (sizes < MIN_WORDS)).any() else [])]
+        # (mask, size of the items that it is laid over as a whole, or 0 for every window of all items)
+        short = sorted(set(sizes[(sizes >= MIN_ITEM) & (sizes < MIN_WORDS)].tolist()))
+        self.masks = [(m, 0) for m in MASKS] + [(m, n) for n in short for m in short_masks(n)]
         self.tables = []
-        for mask in self.masks:
+        for mask, size in self.masks:
             at = np.arange(max(len(self.hashes) - len(mask) + 1, 0))
             owner = found.text_of
             keep = usable[at] & (at + len(mask) <= self.bounds[1:][owner[at]])
-            if mask == "1" * MIN_ITEM:
-                keep &= (sizes[owner[at]] < MIN_WORDS) & (at == self.bounds[owner[at]])
+            if size:
+                keep &= sizes[owner[at]] == size
             at = at[keep]
             keys = seeds(self.hashes, mask)[at]
             order = np.argsort(keys, kind="stable")
@@ -87,7 +104,7 @@ class Block:
         """(text, item) -> (start in the text, start in the item, words, equal words) of the longest overlap."""
         pairs = []
         text_of = found.text_of
-        for mask, (keys, places, sieve) in zip(self.masks, self.tables):
+        for (mask, _), (keys, places, sieve) in zip(self.masks, self.tables):
             mine = seeds(found.hashes, mask)
             at = np.flatnonzero(sieve[mine >> np.uint64(64 - _FILTER_BITS)])
             at = at[at + len(mask) <= found.bounds[1:][text_of[at]]] if len(at) else at

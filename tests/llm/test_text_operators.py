@@ -254,6 +254,36 @@ def test_overlaps_with_replaced_words(spark):
     assert clean == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def _longest(same: list[bool]) -> tuple[int, int]:
+    """Every stretch from an equal to an equal word, judged by itself."""
+    passing = [(b - a, -a) for a in range(len(same)) for b in range(a + 1, len(same) + 1)
+               if same[a] and same[b - 1] and 100 * sum(same[a:b]) >= 80 * (b - a)]
+    n, a = max(passing, default=(0, 0))
+    return -a, n - a
+
+
+def test_longest_stretch_equals_all_stretches_judged_one_by_one():
+    r = random.Random(9)
+    for _ in range(400):
+        share = r.choice([0.1, 0.5, 0.7, 0.8, 0.9])
+        same = [r.random() < share for _ in range(r.randrange(1, 45))]
+        assert spaced.best_stretch(np.array(same)) == _longest(same), same
+
+
+@pytest.mark.parametrize("parts", [(20, -9, 20, -9, 20), (40, -19, 40, -19, 40), (30, *(2, -1) * 33, 2)])
+def test_more_copied_words_never_hide_an_overlap(spark, parts):
+    """Positive parts of the item are copied, negative ones replaced."""
+    item = _noise(41, sum(map(abs, parts)))
+    same = [n > 0 for n in parts for _ in range(abs(n))]
+    doc = _noise(42, 7) + [w if s else f"other{i}" for i, (w, s) in enumerate(zip(item, same))] + _noise(43, 5)
+    docs = spark.createDataFrame([(1, " ".join(doc)), (2, " ".join(_noise(44, 200)))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    a, b = _longest(same)
+    assert b - a >= 20
+    assert [tuple(r) for r in spaced.overlaps(docs, items).collect()] == [(1, 1, 7 + a, a, b - a, sum(same[a:b]))]
+    assert {r["doc_id"] for r in spaced.clean(docs, items).collect()} == {2}
+
+
 def test_large_benchmarks_take_several_passes(spark, monkeypatch):
     items = spark.createDataFrame([(i, " ".join(_noise(i, 30))) for i in range(40)], "item_id long, text string")
     docs = spark.createDataFrame([(i, " ".join(_noise(i, 30))) for i in range(0, 40, 3)], "doc_id long, text string")
