@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -254,6 +255,22 @@ def test_overlaps_with_replaced_words(spark):
     assert clean == {d for d, _ in docs} - {d for d, _ in got}
 
 
+def test_short_items_are_found_whichever_words_are_replaced(spark):
+    for n in range(spaced.MIN_ITEM, spaced.MIN_WORDS):
+        most = n * 20 // 100
+        for gone in itertools.combinations(range(1, n - 1), most):
+            assert any(all(mask[i] == "0" for i in gone) for mask in spaced.short_masks(n))
+    items = [(n, " ".join(_noise(60 + n, n))) for n in range(5, 13)]
+    docs = []
+    for n, item in items:
+        ws = item.split()
+        ws[3 if n > 5 else 2] = "other"
+        docs.append((n, " ".join(_noise(80 + n, 6) + ws + _noise(95 + n, 4))))
+    got = spaced.overlaps(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["n_same"] for r in got} == {(n, n): n - 1 for n, _ in items if n - 1 >= 0.8 * n}
+
+
 def _longest(same: list[bool]) -> tuple[int, int]:
     """Every stretch from an equal to an equal word, judged by itself."""
     passing = [(b - a, -a) for a in range(len(same)) for b in range(a + 1, len(same) + 1)
