@@ -29,4 +29,4 @@ def labels(links: DataFrame) -> DataFrame:
         left, right = (up.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")) for c in ("a", "b"))
         edges = store.stage(edges.join(left, "a").join(right, "b").where("a_up <> b_up").select(
             F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct(), "links")
-    return links.sparkSession.createDataFrame([], "node long, label long") if result is None else result
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if result is None else result

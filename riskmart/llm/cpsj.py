@@ -4,21 +4,24 @@ A document's set: hashes of the distinct windows of `K` words of its lower-cased
 characters that are no ASCII white space; a shorter document's whole sequence is its only element. Two documents are
 linked if 100 * intersection >= 75 * union of their sets.
 
+A document is known by its doc_id and the hash of its text (`key`), so that rows without doc_id, or with one repeated
+doc_id, stay apart unless their texts are equal. Keys are ordered by doc_id first.
+
 1. Each document gets `COORDINATES` minwise tokens of its set. Documents with equal sets are one class, led by the
-   smallest doc_id; only leaders go on, so exact copies cost one aggregation.
+   smallest key; only leaders go on, so exact copies cost one aggregation.
 2. `TREES` independent trees: the root branches leaders by two minwise tokens of its own. Nodes with more than `LEAF`
    documents, or texts too large for a task, branch again by `BRANCH` tokens chosen by the node's hash, each child
    agreeing on one, until they are small. What is still large at `DEPTH` is split into blocks, and every pair of
    blocks is compared.
 3. Small nodes are compared exhaustively, once for equal sets of members: sizes of all intersections of full sets. A
    node yields a spanning forest of its links, never its pairs.
-4. Links are closed to components; the smallest doc_id of each is kept.
+4. Links are closed to components; the document with the smallest key of each is kept.
 
 Two linked documents agree on a token with a probability of at least 0.75, so a tree misses them with at most 0.4375
 and all of them with 0.4375 ** TREES = 1.8e-6; each further branching of a large node loses 0.25 ** BRANCH of a tree.
 
 Defined cases: documents without words are linked with nothing and kept; null doc_id comes after all others; rows of one
-doc_id count as one document; an empty table gives an empty result; extra columns take no part.
+doc_id, or without one, count as one document if their texts are equal, else as several; an empty table gives an empty result; extra columns take no part.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ PERCENT = 75
 TREES, COORDINATES, BRANCH, DEPTH = 16, 48, 4, 12
 LEAF, LEAF_SHINGLES, FEW = 2048, 3_000_000, 8
 LAST = 2**63 - 1  # stands for a null doc_id
+KEY = "struct<doc: bigint, hash: bigint>"
 _DENSE = 16  # elements in at least so many sets of a node are counted by a matrix product
 
 _ODD = words.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(words.BASE)) | np.uint64(1)
@@ -187,8 +191,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def answer(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts).combine_chunks()
         a, b = links_of(np.asarray(table.column("node")), table.column("text").combine_chunks())
-        ids = np.asarray(table.column("id"))
-        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+        ids = table.column("id").combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
 
     waiting, size = [], 0
     for batch in words.chunks(batches):
@@ -205,20 +209,26 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer(waiting)
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: id (doc_id, or LAST for null), n_shingles, component_id, kept."""
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("id")
-    texts = docs.select(ids, "text")
+def key():
+    """What tells documents apart: (doc_id, or LAST for null; hash of the text)."""
+    return F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("hash"))
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """Per row of `docs`: id (its key), n, component (the smallest key of its group)."""
+    texts = docs.select(key().alias("id"), "text")
     sketch = store.stage(texts.mapInArrow(
-        _sketch, "id long, n long, h1 long, h2 long, tokens array<int>"), "sketch")
+        _sketch, f"id {KEY}, n long, h1 long, h2 long, tokens array<int>"), "sketch")
     classes = store.stage(sketch.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("leader")), "classes")
     leaders = store.stage(sketch.join(classes, ["n", "h1", "h2"]).where("id = leader").select(
-        "id", "n", "tokens").dropDuplicates(["id", "n"]), "leaders")
+        "id", "n", "tokens").dropDuplicates(["id"]), "leaders")
     nodes = leaves(leaders)
     # The members grow with the documents, so the plan is the same at every size: no broadcast of what is still small.
-    compared = nodes.hint("merge").join(texts, "id").select("node", "id", "text")
+    # Rows of one key have one text, and one of them is enough; their copies are merged before the shuffle.
+    compared = nodes.hint("merge").join(texts.groupBy("id").agg(F.first("text").alias("text")), "id").select(
+        "node", "id", "text")
     links = store.stage(compared.repartition("node").sortWithinPartitions("node").mapInArrow(
-        _compare, "a long, b long"), "pairs")
+        _compare, f"a {KEY}, b {KEY}"), "pairs")
     # A row whose class is led by another document is linked with it; classes need no pairs of their own.
     led = sketch.join(classes, ["n", "h1", "h2"]).where("id <> leader").select(
         F.col("id").alias("a"), F.col("leader").alias("b"))
@@ -226,9 +236,13 @@ def groups(docs: DataFrame) -> DataFrame:
     for table in (leaders, nodes, links):
         store.discard(table)
     joined = sketch.join(labels, sketch["id"] == labels["node"], "left")
-    component = F.coalesce("label", "id").alias("component_id")
-    return joined.select("id", F.col("n").alias("n_shingles"), component,
-                         (F.coalesce("label", "id") == F.col("id")).alias("kept"))
+    return joined.select("id", "n", F.coalesce("label", "id").alias("component"))
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """Per row of `docs`: id (doc_id, or LAST for null), n_shingles, component_id, kept."""
+    return judged(docs).select(F.col("id.doc").alias("id"), F.col("n").alias("n_shingles"),
+                               F.col("component.doc").alias("component_id"), (F.col("component") == F.col("id")).alias("kept"))
 
 
 def _shown(name: str):
@@ -237,9 +251,8 @@ def _shown(name: str):
 
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, of one document per group."""
-    gone = groups(docs).where("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    return docs.join(gone, key == F.col("_gone"), "left_anti")
+    gone = judged(docs).where("component <> id").select(F.col("id").alias("_gone")).distinct()
+    return docs.join(gone, key() == F.col("_gone"), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -205,6 +205,25 @@ def test_near_copies_small_and_large_nodes(spark, monkeypatch, leaf):
     assert got == _components(rows)
 
 
+def test_rows_without_or_with_one_doc_id_are_documents_of_their_own(spark):
+    a, b, c, d, e = (_noise(i, 120) for i in range(20, 25))
+    near = [[*ws[:60], "other", *ws[61:]] for ws in (a, b, c, d, e)]
+    # Of texts without doc_id, two are linked with two documents, two with each other, one with none.
+    rows = [(5, a), (900, b), (None, near[0]), (None, near[1]), (None, c), (None, near[2]), (None, _noise(30, 120)),
+            (7, d), (8, near[3]), (7, e), (9, near[4]), (None, _noise(31, 120)), (None, _noise(31, 120))]
+    docs = spark.createDataFrame([(i, " ".join(ws)) for i, ws in rows], "doc_id long, text string")
+    left = sorted((r["doc_id"] or 0, r["text"]) for r in cpsj.kept_rows(docs).collect())
+    whole = {(i or 0, " ".join(ws)) for i, ws in rows}
+    one_of_two = [x for x in left if x in {(0, " ".join(c)), (0, " ".join(near[2]))}]
+    assert len(one_of_two) == 1
+    gone = {(0, " ".join(near[0])), (0, " ".join(near[1])), (8, " ".join(near[3])), (9, " ".join(near[4])),
+            (0, " ".join(c)), (0, " ".join(near[2]))} - set(one_of_two)
+    assert left == sorted([*(whole - gone), (0, " ".join(_noise(31, 120)))])
+    got = cpsj.groups(docs).collect()
+    assert len(got) == len(rows) and sorted(r["component_id"] for r in got if r["kept"] and r["id"] < 1000) == [5, 7, 7, 900]
+    assert sorted(r["component_id"] for r in got if r["id"] == cpsj.LAST) == [5, 900, *[cpsj.LAST] * 5]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (201, 200)]
     got = {r["node"]: r["label"] for r in components.labels(spark.createDataFrame(links, "a long, b long")).collect()}
