@@ -16,7 +16,7 @@ from riskmart.llm import words
 
 DEFAULT = "word_bpe_49k.json"
 ENTRIES = 1 << 20
-_SLOTS = 1 << 21
+_BITS = 21  # of the slots: twice ENTRIES
 _MARK = "\x01"  # a character that is one token of its own between spaces
 
 _encoders: dict[str, "Encoder"] = {}
@@ -42,10 +42,12 @@ class Encoder:
         self.mark = self.library.encode(_MARK, add_special_tokens=False).ids
         self._clear()
 
-    def _clear(self) -> None:
-        self.keys = np.zeros(_SLOTS, np.uint64)
-        self.begin = np.zeros(_SLOTS, np.int64)
-        self.count = np.zeros(_SLOTS, np.int32)
+    def _clear(self, n: int = 0) -> None:
+        """An empty table, at most half full with `n` keys."""
+        self.bits = max(_BITS, (2 * n - 1).bit_length()) if n else _BITS
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.begin = np.zeros(1 << self.bits, np.int64)
+        self.count = np.zeros(1 << self.bits, np.int32)
         self.ids = np.zeros(1 << 20, np.uint32)
         self.n_ids = self.n_keys = 0
 
@@ -68,7 +70,7 @@ class Encoder:
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, -1 where unknown."""
-        slots = (keys >> np.uint64(43)).astype(np.int64)
+        slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         result = np.full(len(keys), -1, np.int64)
         open_ = np.arange(len(keys))
         while len(open_):
@@ -76,18 +78,17 @@ class Encoder:
             hit = there == keys[open_]
             result[open_[hit]] = slots[open_[hit]]
             open_ = open_[~hit & (there != 0)]
-            slots[open_] = (slots[open_] + 1) % _SLOTS
+            slots[open_] = (slots[open_] + 1) % len(self.keys)
         return result
 
     def _learn(self, found: words.Words, keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
         new, at = np.unique(keys[slots < 0], return_index=True)
         if self.n_keys + len(new) > ENTRIES:
-            self._clear()
             new, at = np.unique(keys, return_index=True)
-            at = np.arange(len(keys))[at]
+            self._clear(len(new))  # a long text may have more distinct runs than ENTRIES
         else:
             at = np.flatnonzero(slots < 0)[at]
-        for begin in range(0, len(new), ENTRIES // 2):  # a chunk with more runs than the arrays hold is not possible
+        for begin in range(0, len(new), ENTRIES // 2):
             part = slice(begin, begin + ENTRIES // 2)
             self._store(new[part], [found.word(i).decode() for i in at[part].tolist()])
         return self._find(keys)
@@ -100,7 +101,7 @@ class Encoder:
         begins = self.n_ids + np.cumsum(counts) - counts
         self.n_ids += len(ids)
         self.n_keys += len(keys)
-        slots, open_ = (keys >> np.uint64(43)).astype(np.int64), np.arange(len(keys))
+        slots, open_ = (keys >> np.uint64(64 - self.bits)).astype(np.int64), np.arange(len(keys))
         while len(open_):
             free = open_[self.keys[slots[open_]] == 0]
             _, first = np.unique(slots[free], return_index=True)
@@ -109,7 +110,7 @@ class Encoder:
             left = np.ones(len(keys), bool)
             left[put] = False
             open_ = open_[left[open_]]
-            slots[open_] = (slots[open_] + 1) % _SLOTS
+            slots[open_] = (slots[open_] + 1) % len(self.keys)
 
     def _encode_runs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all runs one after another, and how many each has."""

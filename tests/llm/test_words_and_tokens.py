@@ -178,3 +178,12 @@ def test_vocabulary_file_is_a_parameter(tmp_path):
     own.write_text(json.dumps(data))
     ids, _ = bpe.encoder(str(own)).encode(pa.array(["hello there"]))
     assert ids.tolist() == bpe.encoder(bpe.default_path()).encode(pa.array(["hello there"]))[0].tolist()
+
+
+def test_one_text_with_more_distinct_runs_than_the_table_holds(monkeypatch):
+    monkeypatch.setattr(bpe, "ENTRIES", 8)
+    monkeypatch.setattr(bpe, "_BITS", 4)
+    encoder = bpe.Encoder(bpe.default_path())
+    for n in (300, 3, 40):
+        text = " ".join(f"word{i * 7}" for i in range(n))
+        assert encoder.encode(pa.array([text]))[0].tolist() == encoder.library.encode(text, add_special_tokens=False).ids
