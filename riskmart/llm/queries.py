@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from riskmart.llm import cpsj, debruijn, langid, packing, quality, quoting, records, spaced, templates, toxicity
+from riskmart.llm import (cpsj, debruijn, langid, negatives, packing, quality, quoting, records, repair, spaced, suffixes,
+                          templates, toxicity)
 
 QUERIES = {
     "op1_quality_rules": quality.query,
@@ -16,6 +17,9 @@ QUERIES = {
     "op8_minhash_dedup": cpsj.query,
     "op9_license_templates": templates.query,
     "op10_spaced_seeds": spaced.query,
+    "op11_suffix_dedup": suffixes.query,
+    "op12_hard_negatives": negatives.query,
+    "op13_conversation_repair": repair.query,
 }
 
 SQL = {
@@ -25,4 +29,7 @@ SQL = {
     "op5_substring_dedup": debruijn.SQL,
     "op8_minhash_dedup": cpsj.SQL,
     "op9_license_templates": templates.sql(),
+    "op11_suffix_dedup": suffixes.SQL,
+    "op12_hard_negatives": negatives.SQL,
+    "op13_conversation_repair": repair.SQL,
 }
