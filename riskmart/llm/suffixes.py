@@ -7,7 +7,8 @@ Equal windows must meet in one suffix array, none of which may be larger than a
 1. Texts that occur more than once are one; in all but the first every window starts earlier, so only leaders go on.
 2. Each window is known by its minimizer, the least hash of `GRAM` bytes in it. Neighbours that share it form a piece.
    Only pieces whose minimizer occurs twice, in different texts or at two places of one, can repeat.
-3. Equal pieces are one; in all but the first every window starts earlier. First pieces are grouped by minimizer.
+3. Equal pieces are one; in all but the first every window starts earlier. First pieces are grouped by minimizer; only
+   groups of several, or of one whose minimizer stands at two places, are fetched from the texts.
 4. Groups are laid into blocks. A block's suffix array comes from two-stage sorting: only suffixes smaller than their
    successors are sorted directly, word by word to the depth of a window; bucket scans induce all others. Neighbours
    with a common prefix of a window start with equal windows; all but the earliest are marked.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from riskmart.llm import store, words
 
 WIDTH, GRAM = 100, 24
-PIECE = 400  # windows of a piece at most
+PIECE = 400  # windows of a piece at most (below 512, see `_coordinates`)
 GROUP = 1 << 20  # bytes of the pieces of a group that one suffix array takes
 BLOCK = 1 << 20  # bytes after which a block of whole groups is sorted
 LEVELS = 4  # cuts of large groups by minimizers, after that by single windows
@@ -227,8 +228,7 @@ def runs(piece: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 SPAN = "doc long, tie long, start long, n_bytes long"
-CUT = f"{SPAN}, mini long, again boolean, digest binary, bytes binary"
-
+PIECE_OF = f"num long, {SPAN}, mini long, again boolean"
 
 def _spans(doc, tie, start, size) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.asarray(x, np.int64)) for x in (doc, tie, start, size)],
@@ -239,66 +239,63 @@ def _long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(minimizer, least and greatest text that has it); two different ones stand for several places in one text."""
-    for batch in words.chunks(batches):
-        found = Pieces(*words.bytes_of(batch.column("text")), 0)
-        text = np.asarray(batch.column("tie"), np.int64)[found.string]
-        order = np.lexsort((text, found.mini))
-        mini, text = found.mini[order], text[order]
-        new = np.ones(len(mini), bool)
-        new[1:] = mini[1:] != mini[:-1]
-        first = np.flatnonzero(new)
-        last = np.concatenate([first[1:], [len(mini)]]) - 1
-        low, high = text[first], text[last].copy()
-        # Two pieces of one text, or a piece with two places of the minimizer.
-        several = np.maximum.reduceat(found.again[order], first) if len(first) else np.zeros(0, bool)
-        parts = np.diff(np.concatenate([first, [len(mini)]]))
-        high[(low == high) & (several | (parts > 1))] ^= 1
-        low, high = np.minimum(low, high), np.maximum(low, high)
-        yield pa.RecordBatch.from_arrays([pa.array(_long(mini[first])), pa.array(low), pa.array(high)], names=["mini", "low", "high"])
-
-
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pieces of the texts: minimizer, text, and start, windows and `again` in one number."""
     for batch in words.chunks(batches):
         found = Pieces(*words.bytes_of(batch.column("text")), 0)
+        packed = found.start << 10 | found.windows << 1 | found.again
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_long(found.mini)), pa.array(np.asarray(batch.column("tie"), np.int64)[found.string])], names=["mini", "tie"])
+            [pa.array(_long(found.mini)), pa.array(np.asarray(batch.column("num"), np.int64)[found.string]), pa.array(packed)],
+            names=["mini", "num", "packed"])
+
+
+def _listed(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(row of each element of `wanted`, its fields)."""
+    wanted = batch.column("wanted")
+    flat = wanted.flatten()
+    row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(wanted.offsets)))
+    return row, [np.asarray(flat.field(i), np.int64) for i in range(flat.type.num_fields)]
+
+
+def _slices(batch: pa.RecordBatch, with_bytes: bool) -> pa.RecordBatch:
+    """The wanted pieces of the texts, with their digest or their bytes."""
+    data, bounds = words.bytes_of(batch.column("text"))
+    row, (mini, packed) = _listed(batch)
+    start, n, again = packed >> 10, (packed >> 1 & 511) + WIDTH - 1, (packed & 1).astype(bool)
+    begin = bounds[row] + start
+    whole = memoryview(data.tobytes())
+    raw = [whole[a:b] for a, b in zip(begin.tolist(), (begin + n).tolist())]
+    raw = [bytes(x) for x in raw] if with_bytes else [hashlib.blake2b(x, digest_size=16).digest() for x in raw]
+    num, doc, tie = (np.asarray(batch.column(c), np.int64)[row] for c in ("num", "doc", "tie"))
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, (num, doc, tie, start, n, mini, again)), pa.array(raw, pa.binary())],
+        names=["num", "doc", "tie", "start", "n_bytes", "mini", "again", "bytes" if with_bytes else "digest"])
 
 
-def _pieces_of(found: Pieces, keep: np.ndarray, doc, tie, start, key) -> pa.RecordBatch:
-    """Rows of the kept pieces; `doc`, `tie`, `start` and `key` are those of the strings they come from."""
-    at = np.flatnonzero(keep)
-    of = found.string[at]
-    mini = words.mix(found.mini[at] ^ words.mix(key[of].astype(np.int64).view(np.uint64)))
-    raw = [found.bytes_of(i) for i in at.tolist()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(doc[of]), pa.array(tie[of]), pa.array(start[of] + found.start[at]),
-         pa.array((found.windows[at] + WIDTH - 1).astype(np.int64)), pa.array(_long(mini)), pa.array(found.again[at]),
-         pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in raw], pa.binary()), pa.array(raw, pa.binary())],
-        names=["doc", "tie", "start", "n_bytes", "mini", "again", "digest", "bytes"])
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in words.chunks(batches):
+        yield _slices(batch, False)
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of leaders whose minimizer is one of the text's own `minis`."""
+def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in words.chunks(batches):
-        found = Pieces(*words.bytes_of(batch.column("text")), 0)
-        minis = batch.column("minis")
-        listed = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(minis.offsets)))
-        known = words.mix(np.asarray(minis.flatten(), np.int64).view(np.uint64) ^ words.mix(listed.astype(np.uint64)))
-        own = words.mix(found.mini ^ words.mix(found.string.astype(np.uint64)))
-        doc, tie = (np.asarray(batch.column(c), np.int64) for c in ("doc", "tie"))
-        yield _pieces_of(found, np.isin(own, known), doc, tie, np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64))
+        yield _slices(batch, True)
 
 
 def _cut_again(level: int):
     """Pieces of large groups cut anew by the minimizers of another seed."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.chunks(batches, "bytes"):
-            data, bounds = _binary(batch.column("bytes"))
-            found = Pieces(data, bounds, level, single=level > LEVELS)
-            doc, tie, start, mini = (np.asarray(batch.column(c), np.int64) for c in ("doc", "tie", "start", "mini"))
-            yield _pieces_of(found, np.ones(len(found.start), bool), doc, tie, start, mini)
+            found = Pieces(*_binary(batch.column("bytes")), level, single=level > LEVELS)
+            of = found.string
+            num, doc, tie, start, mini = (np.asarray(batch.column(c), np.int64)[of] for c in ("num", "doc", "tie", "start", "mini"))
+            mini = words.mix(found.mini ^ words.mix(mini.view(np.uint64)))
+            raw = [found.bytes_of(i) for i in range(len(of))]
+            digest = [hashlib.blake2b(x, digest_size=16).digest() for x in raw]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, (num, doc, tie, start + found.start, found.windows + WIDTH - 1, _long(mini), found.again)),
+                 pa.array(digest, pa.binary()), pa.array(raw, pa.binary())],
+                names=["num", "doc", "tie", "start", "n_bytes", "mini", "again", "digest", "bytes"])
     return rows
 
 
@@ -341,45 +338,62 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer(waiting)
 
 
-def _deal(pieces: DataFrame, level: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """(spans of repeats among the pieces, the pieces of groups too large for that or None)."""
+def _led(pieces: DataFrame) -> DataFrame:
+    """Stored pieces with `leads`, true for the first of equal ones; only these keep their bytes."""
     place = F.struct("doc", "tie", "start")
     firsts = pieces.groupBy("digest").agg(F.min(place).alias("first"))
-    # Of equal pieces only the first keeps its bytes. What grows with the documents is never broadcast.
-    known = store.stage(pieces.join(firsts.hint("merge"), "digest").select(
-        "doc", "tie", "start", "n_bytes", "mini", "again", (place == F.col("first")).alias("leads"),
-        F.when(place == F.col("first"), F.col("bytes")).alias("bytes")), "pieces")
-    found = [known.where("NOT leads").select("doc", "tie", "start", "n_bytes")]
-    if level > LEVELS:  # pieces of one window: equal ones have been found, and no others can repeat
-        return found, None
-    leaders = known.where("leads").select("doc", "tie", "start", "mini", "again", "bytes")
-    large = store.stage(known.where("leads").groupBy("mini").agg(F.sum("n_bytes").alias("weight")).where(
-        F.col("weight") > GROUP).select("mini"), "large")
-    small = leaders.join(large, "mini", "left_anti").repartition("mini").sortWithinPartitions("mini")
-    found.append(store.stage(small.mapInArrow(_compare, SPAN), "spans"))
-    rest = leaders.join(large, "mini", "left_semi")
-    return found, None if large.isEmpty() else rest
+    # What grows with the documents is never broadcast, so that plans are the same at every size.
+    leads = place == F.col("first")
+    own = [F.when(leads, F.col(c)).alias(c) for c in pieces.columns if c == "bytes"]
+    return store.stage(pieces.join(firsts.hint("merge"), "digest").select(
+        "num", "doc", "tie", "start", "n_bytes", "mini", "again", leads.alias("leads"), *own), "pieces")
+
+
+def _wanted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("num").agg(F.collect_list(F.struct("mini", "packed")).alias("wanted"))
 
 
 def spans(leaders: DataFrame) -> DataFrame:
-    """(doc, tie, start, n_bytes): byte strings to be removed; `leaders` has doc, tie and text, different texts."""
-    texts = leaders.select("tie", "text")
-    common = store.stage(texts.mapInArrow(_sieve, "mini long, low long, high long").groupBy("mini").agg(
-        F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("mini"), "common")
-    own = texts.mapInArrow(_own, "mini long, tie long").join(common.hint("merge"), "mini").groupBy("tie").agg(
-        F.collect_set("mini").alias("minis"))
-    own = store.stage(own, "minis")
+    """(doc, tie, start, n_bytes): byte strings to be removed; `leaders` has num, doc, tie and text, different texts."""
+    all_ = store.stage(leaders.select("num", "text").mapInArrow(_coordinates, "mini long, num long, packed long"), "coordinates")
+    # A minimizer repeats if two texts have it, or two pieces, or a piece at two places.
+    common = store.stage(all_.groupBy("mini").agg(
+        F.min("num").alias("low"), F.max("num").alias("high"), F.count("*").alias("pieces"),
+        F.max(F.col("packed").bitwiseAND(1)).alias("again")).where("low < high OR pieces > 1 OR again = 1").select("mini"), "common")
+    wanted = store.stage(_wanted(all_.join(common.hint("merge"), "mini")), "wanted")
+    store.discard(all_)
     store.discard(common)
-    pieces = store.stage(leaders.join(own.hint("merge"), "tie").select("doc", "tie", "text", "minis").mapInArrow(
-        _candidates, CUT), "candidates")
-    store.discard(own)
-    found, level = [], 0
-    while pieces is not None:
-        more, rest = _deal(pieces, level)
-        store.discard(pieces)
-        found += more
+    texts = leaders.select("num", "doc", "tie", "text")
+    pieces = store.stage(texts.join(wanted.hint("merge"), "num").mapInArrow(_digests, f"{PIECE_OF}, digest binary"), "candidates")
+    store.discard(wanted)
+    known = _led(pieces)
+    store.discard(pieces)
+    columns = ["doc", "tie", "start", "n_bytes"]
+    found = [known.where("NOT leads").select(*columns)]
+    first = known.where("leads")
+    groups = first.groupBy("mini").agg(F.count("*").alias("members"), F.max("again").alias("repeats")).where(
+        "members > 1 OR repeats").select("mini")
+    packed = F.shiftleft("start", 10).bitwiseOR(F.shiftleft(F.col("n_bytes") - (WIDTH - 1), 1)).bitwiseOR(F.col("again").cast("long"))
+    wanted = store.stage(_wanted(first.join(groups.hint("merge"), "mini").select("num", "mini", packed.alias("packed"))), "wanted")
+    met = store.stage(texts.join(wanted.hint("merge"), "num").mapInArrow(_fetched, f"{PIECE_OF}, bytes binary"), "groups")
+    store.discard(wanted)
+    level = 0
+    while True:
+        large = store.stage(met.groupBy("mini").agg(F.sum("n_bytes").alias("weight")).where(
+            F.col("weight") > GROUP).select("mini"), "large")
+        small = met.join(large, "mini", "left_anti").select("doc", "tie", "start", "mini", "again", "bytes")
+        found.append(store.stage(small.repartition("mini").sortWithinPartitions("mini").mapInArrow(_compare, SPAN), "spans"))
+        if large.isEmpty():
+            break
         level += 1
-        pieces = None if rest is None else store.stage(rest.mapInArrow(_cut_again(level), CUT), "candidates")
+        pieces = store.stage(met.join(large, "mini", "left_semi").mapInArrow(
+            _cut_again(level), f"{PIECE_OF}, digest binary, bytes binary"), "candidates")
+        known = _led(pieces)
+        store.discard(pieces)
+        found.append(known.where("NOT leads").select(*columns))
+        if level > LEVELS:  # pieces of one window: equal ones have been found, and no others can repeat
+            break
+        met = known.where("leads")
     result = found[0]
     for more in found[1:]:
         result = result.unionByName(more)
@@ -426,9 +440,9 @@ def remove(docs: DataFrame, as_hash: bool = False) -> DataFrame:
     texts = docs.select(*known, "text").where(F.octet_length("text") >= WIDTH)
     # Copies are merged before the shuffle, so a text with very many is no more than one row per task.
     leaders = store.stage(texts.groupBy("digest").agg(
-        F.min("doc").alias("doc"), F.first("tie").alias("tie"), F.first("text").alias("text"), F.count("*").alias("copies")), "leaders")
+        F.min("doc").alias("doc"), F.first("tie").alias("tie"), F.first("text").alias("text"), F.count("*").alias("copies")).withColumn("num", F.monotonically_increasing_id()), "leaders")
     several = leaders.where("copies > 1").select("digest", F.col("doc").alias("leader"))
-    marks = spans(leaders.select("doc", "tie", "text")).unionByName(
+    marks = spans(leaders.select("num", "doc", "tie", "text")).unionByName(
         texts.select("doc", "tie", "digest").join(several, "digest").where("doc > leader").select(
             "doc", "tie", F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("n_bytes")))
     marks = store.stage(marks.groupBy("doc", "tie").agg(F.collect_set(F.struct("start", "n_bytes")).alias("marks")), "marks")
