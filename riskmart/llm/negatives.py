@@ -17,7 +17,8 @@ its first `POSITIVES` other rows of the same label, by higher score, then smalle
 Defined cases: rows with a null label, a null vector or a component that is null or not finite take no part. Equal rows
 (vec_id, label, vector) are one row; other rows of the same vec_id are rows of their own, ordered by a hash. Rows without
 vec_id are no anchors and come after all others among equal scores. A shorter vector has zeros at its end, so an empty
-one scores 0. Extra columns take no part; an empty table gives an empty result. A score beyond 64 bits is an error.
+one scores 0. Extra columns take no part; an empty table gives an empty result. Components so large that a score could
+exceed 64 bits are an error.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ determines the result. Cost vectors hold, per state, what the rest of a conversa
 2. Chunks run backward from a speculative vector (zeros), only the last one from the true end. Costs of this kind forget
    their start: vectors that differ only by a constant (their rank is one) choose the same edits.
 3. Fix-up passes: a chunk whose right neighbour's result is not what it started from, up to a constant, runs again from
-   that result, until its vectors meet the old ones; passes end when no chunk changes.
+   that result, until its vectors meet the old ones; passes end when no chunk changes. Most vectors meet within some
+   rows; where none do, passes are as many as a conversation has chunks.
 4. Each chunk is traced forward from every state along the stitched costs; the true states are followed from chunk to
    chunk, and the chunks that hold them give audit and repaired rows.
 
@@ -190,8 +191,8 @@ class _Chunk:
         self.head = self.tail = self.low = self.high = None
         self.bytes = self.turns = self.blank = self.duplicate = self.truncated = self.illegal = 0
 
-    def full(self) -> bool:
-        return len(self.codes) >= ROWS or self.bytes >= BYTES
+    def full(self, rows: int) -> bool:
+        return len(self.codes) >= rows or self.bytes >= BYTES
 
     def add(self, turn, role, text, n, blank, duplicate, truncated) -> None:
         initial = role[:1]
@@ -214,7 +215,7 @@ class _Chunk:
             self.high = turn
 
 
-def _pack(conv_type: pa.DataType):
+def _pack(conv_type: pa.DataType, limit: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block = TaskContext.get().partitionId(), 0
 
@@ -234,7 +235,7 @@ def _pack(conv_type: pa.DataType):
         done, size, chunk = [], 0, None
         for batch in batches:
             for conv, *row in zip(*(column.to_pylist() for column in batch.columns)):
-                if chunk is not None and (conv != chunk.conv or chunk.full()):
+                if chunk is not None and (conv != chunk.conv or chunk.full(limit)):
                     done.append(chunk)
                     size += chunk.bytes
                     chunk = None
@@ -252,13 +253,13 @@ def _pack(conv_type: pa.DataType):
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """Chunks of rows in order (see the module), stored; `block` runs within `part`, both grow in order."""
+    """Chunks of at most `ROWS` rows in order, stored; `block` runs within `part`, both grow in order."""
     order = ["conv", "turn", "role", "text"]
     field = rows.schema["conv"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[field.dataType.simpleString()]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
         *order, "n", "blank", "duplicate", "truncated")
-    return store.stage(ordered.mapInArrow(_pack(arrow), _schema(field.dataType.simpleString())), "chunks")
+    return store.stage(ordered.mapInArrow(_pack(arrow, ROWS), _schema(field.dataType.simpleString())), "chunks")
 
 
 def _costs(column: pa.Array) -> list[Vector]:
