@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions import convert
+from riskmart.operators import firsts
 from riskmart.spec import DELINQUENCY_CODES, KEY, LOAD_SEQ, TRANSACTION_COLUMNS, TRANSACTION_SPEC, ColumnSpec
 
 RULE = "_rule"
@@ -102,33 +103,22 @@ def good(judged: DataFrame) -> DataFrame:
     """Bronze: the 50 typed columns, one row per transaction, the first good one that was loaded.
 
     Bad rows leave first, so a bad first copy does not block a later good one. Spark keeps one row per key and task
-    before it shuffles (a window group limit), so a key with very many copies sends at most one row per task.
+    before it shuffles (a window group limit), so a key with very many copies sends at most one row per task. For
+    queries that ask for few columns; `build` and `without_copies` are for all of them.
     """
-    order = Window.partitionBy(KEY).orderBy(LOAD_SEQ)
-    return passed(judged).withColumn("_copy", F.row_number().over(order)).where("_copy = 1").drop("_copy", LOAD_SEQ)
+    return firsts.by_window(passed(judged), [KEY], [F.col(LOAD_SEQ)]).drop(LOAD_SEQ)
 
 
-def repeated_keys(good_rows: DataFrame) -> DataFrame:
-    """Keys that occur more than once, with their row count. Only the key column is read and shuffled."""
-    return good_rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+def build(raw: DataFrame) -> DataFrame:
+    """The same rows as `good(judge(raw))` by a plan for all 50 columns: rows whose transaction has no copy in the raw
+    layer are judged without a shuffle. Each row is judged once."""
+    found = firsts.first_rows(raw, [KEY], [F.col(LOAD_SEQ)], lambda rows: passed(judge(rows)))
+    return found.selectExpr(*TRANSACTION_COLUMNS)
 
 
-def first_copies(good_rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """First load position of each repeated key."""
-    return (good_rows.select(KEY, LOAD_SEQ).join(repeated.select(KEY), KEY, "left_semi")
-            .groupBy(KEY).agg(F.min(LOAD_SEQ).alias("_first_seq")))
-
-
-def drop_later_copies(good_rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The same rows as `good`, given the first positions of the repeated keys as a stored table.
-
-    Copies are rare, so that table is small next to the rows: Spark sees its size and broadcasts it, and the wide rows
-    are neither shuffled nor sorted. Where it is large Spark joins by shuffle and splits skewed keys. `_load_seq` must
-    be unique.
-    """
-    marked = good_rows.join(firsts, KEY, "left")
-    return (marked.where(F.col("_first_seq").isNull() | (F.col(LOAD_SEQ) == F.col("_first_seq")))
-            .selectExpr(*TRANSACTION_COLUMNS))
+def without_copies(good_rows: DataFrame) -> DataFrame:
+    """The same for stored good rows (see `passed`)."""
+    return firsts.first_rows(good_rows, [KEY], [F.col(LOAD_SEQ)]).selectExpr(*TRANSACTION_COLUMNS)
 
 
 def quarantine(judged: DataFrame, quarantined_at: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.functions.amounts import count_rows
+from riskmart.operators import firsts
 from riskmart.operators import silver as silver_layer
 
 # NPL ratio limits in percent.
@@ -42,10 +43,11 @@ def require_rates(bronze: DataFrame, fx: DataFrame) -> None:
         raise MissingRate(", ".join(f"{r['txn_month']} {r['txn_currency']}: {r['row_count']}" for r in missing))
 
 
-def month_end(silver: DataFrame) -> DataFrame:
+def month_end(silver: DataFrame, stored: bool = True) -> DataFrame:
     """Last transaction per account and month.
 
-    One row per account, month and task reaches the shuffle, however many transactions an account has.
+    Of a stored Silver only accounts with several transactions in a month are shuffled. `stored=False` is for rows that
+    are computed as they are read: they are read once and shuffled, at most one per account, month and task.
     """
-    last_first = Window.partitionBy("account_id", "txn_month").orderBy(F.desc("txn_timestamp"), F.desc("txn_id"))
-    return silver.withColumn("_age", F.row_number().over(last_first)).where("_age = 1").drop("_age")
+    plan = firsts.first_rows if stored else firsts.by_window
+    return plan(silver, ["account_id", "txn_month"], [F.desc("txn_timestamp"), F.desc("txn_id")])

@@ -14,6 +14,7 @@ from riskmart.spec import RUN_LOG_SCHEMA
 
 log = logging.getLogger(__name__)
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
+REQUIRED = ["run_id", "pipeline_name", "step_name", "status", "started_at", "run_date"]
 STATE_COLUMNS = [f.name for f in RUN_LOG_SCHEMA.fields if f.name != "event_time"]
 
 
@@ -45,6 +46,10 @@ class RunLog:
         event = (run_id, self.pipeline_name, step_name, status, started, finished, seconds, rows, error,
                  started.date(), event_time)
         try:
+            values = dict(zip(RUN_LOG_SCHEMA.names, event))
+            missing = [name for name in REQUIRED if values[name] is None]
+            if missing or status not in (RUNNING, SUCCESS, FAILED):
+                raise ValueError(f"event without {', '.join(missing) or 'a known status'}")
             self.spark.createDataFrame([event], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").partitionBy(
                 "run_date").parquet(self.path)
         except Exception as problem:  # the log must not stop the run

@@ -39,6 +39,11 @@ class Layers:
     def bronze(self) -> DataFrame:
         return bronze.good(self.judged)
 
+    @cached_property
+    def whole_bronze(self) -> DataFrame:
+        """Bronze by the plan for all columns."""
+        return bronze.build(self.raw)
+
     @cached_property
     def quarantine(self) -> DataFrame:
         return bronze.quarantine(self.judged, QUARANTINED_AT)
@@ -47,6 +52,10 @@ class Layers:
     def silver(self) -> DataFrame:
         return silver.build(self.bronze, self.fx)
 
+    @cached_property
+    def whole_silver(self) -> DataFrame:
+        return silver.build(self.whole_bronze, self.fx)
+
     @cached_property
     def gold(self) -> DataFrame:
         return gold.monthly(self.silver)

@@ -266,6 +266,25 @@ def _npl_by(dimension: str) -> str:
             f"FROM silver GROUP BY {dimension}")
 
 
+def _constraints(table: str, conditions: dict[str, str], key: str | None = None) -> str:
+    parts = [f"SELECT '{name}' AS rule, count(*) FILTER ({broken}) AS broken FROM {table}" for name, broken in conditions.items()]
+    if key:
+        parts.append(f"SELECT '{key} not unique', count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1)")
+    return f"SELECT *, CASE broken WHEN 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ({' UNION ALL '.join(parts)})"
+
+
+def _sums() -> str:
+    sets = ["txn_month", "primary_branch_region", "account_type", "delinquency_status, loan_status, provision_rate"]
+    names = " ".join(f"WHEN GROUPING({s.split(',')[0]}) = 0 THEN '{s.split(',')[0]}'" for s in sets)
+    provisions = ", ".join(f"{_money('provision_amount_thb', status)} AS {prefix}_provision_thb" for prefix, status in (
+        ("performing", "Performing"), ("under_performing", "Under-Performing"), ("npl", "NPL")))
+    return f"""SELECT {", ".join(sets)}, CASE {names} END AS report,
+  count(*) FILTER (WHERE loan_status = 'NPL') AS npl_accounts, count(*) AS total_accounts,
+  {_money('orig_balance_thb', 'NPL')} AS npl_balance_thb, {provisions}, {_money('orig_balance_thb')} AS total_balance_thb,
+  {_money('provision_amount_thb')} AS total_provision_thb
+FROM silver GROUP BY GROUPING SETS ({", ".join(f"({s})" for s in sets)})"""
+
+
 _SUMMARY = (f"SELECT {_GOLD_LISTING}, CAST(round(CAST(total_provision_thb * 100 AS DOUBLE) / "
             "nullif(outstanding_balance_thb, 0), 4) AS DECIMAL(12,4)) AS provision_coverage_pct "
             "FROM gold ORDER BY report_month")
@@ -330,6 +349,17 @@ FROM silver GROUP BY delinquency_status, loan_status, provision_rate"""),
   CAST(round(provision_rate * 100, 0) AS DECIMAL(5,0)) AS provision_rate_pct, count(*) AS total_accounts,
   {_money('orig_balance_thb')} AS total_balance_thb, {_money('provision_amount_thb')} AS total_provision_thb
 FROM silver GROUP BY delinquency_status, loan_status, provision_rate"""),
+        "report_sums": _sql(_TO_SILVER, _sums()),
+        "constraints_bronze": _sql(_TO_BRONZE, _constraints("bronze", {"txn_id is null": "txn_id IS NULL"}, "txn_id")),
+        "constraints_silver": _sql(_TO_SILVER, _constraints("silver", {"txn_id is null": "txn_id IS NULL"}, "txn_id")),
+        "constraints_silver_spoilt": _sql([*_TO_GOLD, _cte_spoilt], _constraints(
+            "bad_silver", {"txn_id is null": "txn_id IS NULL"}, "txn_id")),
+        "constraints_gold": _sql(_TO_GOLD, _constraints(
+            "gold", {"report_month is null": "report_month IS NULL"}, "report_month")),
+        "constraints_run_log": _sql([_cte_runs], _constraints("runs", {
+            **{f"{c} is null": f"{c} IS NULL" for c in (
+                "run_id", "pipeline_name", "step_name", "status", "started_at", "run_date")},
+            "status is not one of RUNNING, SUCCESS, FAILED": "status NOT IN ('RUNNING', 'SUCCESS', 'FAILED')"})),
         "report_preview": _sql(_TO_GOLD, _SUMMARY + " LIMIT 5"),
         "diag_recent_runs": _sql([_cte_runs], """SELECT run_id, pipeline_name, step_name, status, started_at,
   finished_at, duration_sec, rows_processed, error_message FROM runs ORDER BY run_id DESC LIMIT 10"""),

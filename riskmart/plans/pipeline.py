@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart import session
-from riskmart.operators import bronze, gold, quality, reconcile, reports, rules, runlog, silver
+from riskmart.operators import bronze, constraints, gold, quality, reconcile, reports, rules, runlog, silver
 from riskmart.sources import landing, reports_csv, tables
 from riskmart.sources.tables import Tables
 from riskmart.spec import STAGES, TRANSACTION_COLUMNS
@@ -86,25 +86,33 @@ class Run:
         self.tables.publish(tables.RAW_FX)
         return rows
 
+    def _publish(self, table: str, rows: DataFrame, partition_by: list[str] | None = None) -> tuple[int, DataFrame]:
+        """Store a layer, publish it if it keeps its constraints; (number of rows, the layer as stored).
+
+        Rows and broken conditions are counted by the write itself.
+        """
+        declared, counted = constraints.CONSTRAINTS[table], Observation(f"write_{table}")
+        stored = self.tables.write(table, rows.observe(counted, *constraints.metrics(declared)), partition_by, publish=False)
+        constraints.require(table, declared, counted.get, stored)
+        self.tables.publish(table)
+        return counted.get["rows"], stored
+
     def bronze_transform(self) -> int:
         """Judge the raw rows once and store the outcome, good and bad apart; then remove copies of transactions.
 
-        Raw text is read and converted in one pass. Copies are found on the key column alone, and the wide rows are
-        copied to Bronze without a shuffle as long as the repeated keys are few (see `drop_later_copies`).
+        Raw text is read and converted in one pass. Only good rows whose key may repeat are shuffled (see `firsts`).
         """
         judged = bronze.judge(self.tables.read(tables.RAW_TRANSACTIONS)).drop("_task")
-        judged = self.tables.write(tables.JUDGED, judged.withColumn("_good", F.col(bronze.RULE).isNull()), ["_good"])
-        counts = {r["_good"]: r["count"] for r in judged.groupBy("_good").count().collect()}  # from file footers
-        good = bronze.passed(judged.where("_good")).drop("_good")
-        repeated = self.tables.write(tables.REPEATED_KEYS, bronze.repeated_keys(good))
-        firsts = self.tables.write(tables.FIRST_COPIES, bronze.first_copies(good, repeated))
-        self.tables.write(tables.QUARANTINE, bronze.quarantine(judged.where("not _good"), self.started.isoformat(" ")))
-        stored = self.tables.write(tables.BRONZE, self._stamped(bronze.drop_later_copies(good, firsts), "bronze")).count()
-        log.info("Bronze: %s good, %s quarantined, %s duplicate, %s stored", counts.get(True, 0), counts.get(False, 0),
-                 counts.get(True, 0) - stored, stored)
-        for table in (tables.JUDGED, tables.REPEATED_KEYS, tables.FIRST_COPIES):
-            self.tables.drop(table)
-        return stored
+        good, split = F.col(bronze.RULE).isNull(), Observation("judged")
+        judged = self.tables.write(tables.JUDGED, judged.withColumn("_good", good).observe(
+            split, F.count_if("_good").alias("good"), F.count_if(~F.col("_good")).alias("bad")), ["_good"])
+        self._publish(tables.QUARANTINE, bronze.quarantine(judged.where("not _good"), self.started.isoformat(" ")))
+        kept = bronze.without_copies(bronze.passed(judged.where("_good")).drop("_good"))
+        rows, _ = self._publish(tables.BRONZE, self._stamped(kept, "bronze"))
+        log.info("Bronze: %s good, %s quarantined, %s duplicate, %s stored", split.get["good"], split.get["bad"],
+                 split.get["good"] - rows, rows)
+        self.tables.drop(tables.JUDGED)
+        return rows
 
     def _stamped(self, layer: DataFrame, name: str) -> DataFrame:
         """The layer with the run's one time of loading."""
@@ -117,8 +125,7 @@ class Run:
         # One folder per month, so that readers of a month read only it. Without a shuffle every task would write a
         # file for every month; rebalancing gathers a month and splits one that is large among many tasks.
         built = self._stamped(silver.build(bronze_rows, fx), "silver").hint("rebalance", "txn_month")
-        stored = self.tables.write(tables.SILVER, built, ["txn_month"])
-        rows = stored.count()
+        rows, stored = self._publish(tables.SILVER, built, ["txn_month"])
         unmatched = silver.eligible(bronze_rows).count() - rows  # reads one column of Bronze
         if unmatched:
             log.warning("Silver: %s rows with debt have no exchange rate", unmatched)
@@ -135,9 +142,9 @@ class Run:
         return self.spark.read.schema(schema).parquet(folder).select(*TRANSACTION_COLUMNS, *silver.ADDED_COLUMNS)
 
     def gold_aggregate(self) -> int:
-        stored = self.tables.write(tables.GOLD, self._stamped(gold.monthly(self._silver()), "gold"))
+        rows, stored = self._publish(tables.GOLD, self._stamped(gold.monthly(self._silver()), "gold"))
         log.info("Gold: %s; totals %s", gold.listing(stored).collect(), gold.totals(stored).first())  # a row per month
-        return stored.count()
+        return rows
 
     def data_quality(self) -> int:
         results = quality.checks(self._silver(), self.tables.read(tables.GOLD), self.settings.year,
@@ -150,16 +157,16 @@ class Run:
         return len(quality.gate(results))
 
     def export_report(self) -> int:
-        stored, kpis = self._silver(), self.tables.read(tables.GOLD)
+        sums, kpis = self.tables.write(tables.REPORT_SUMS, reports.sums(self._silver())), self.tables.read(tables.GOLD)
         folder = self.settings.report_folder or f"{self.settings.root.rstrip('/')}/reports"
         stamp = self.started.strftime("%Y%m%d_%H%M%S")
         contents = {
             reports_csv.CREDIT_RISK_SUMMARY: reports.credit_risk_summary(kpis),
-            reports_csv.NPL_MONTHLY: reports.npl_breakdown(stored, "txn_month"),
-            reports_csv.NPL_BY_REGION: reports.npl_breakdown(stored, "primary_branch_region"),
-            reports_csv.NPL_BY_ACCOUNT_TYPE: reports.npl_breakdown(stored, "account_type"),
-            reports_csv.PROVISION_MONTHLY: reports.provision_monthly(stored),
-            reports_csv.PROVISION_BY_DELINQUENCY: reports.provision_by_delinquency(stored),
+            reports_csv.NPL_MONTHLY: reports.npl_breakdown_of(sums, "txn_month"),
+            reports_csv.NPL_BY_REGION: reports.npl_breakdown_of(sums, "primary_branch_region"),
+            reports_csv.NPL_BY_ACCOUNT_TYPE: reports.npl_breakdown_of(sums, "account_type"),
+            reports_csv.PROVISION_MONTHLY: reports.provision_monthly_of(sums),
+            reports_csv.PROVISION_BY_DELINQUENCY: reports.provision_by_delinquency_of(sums),
         }
         first_rows = reports.preview(contents[reports_csv.CREDIT_RISK_SUMMARY]).collect()
         log.info("%s: %s rows, first: %s", reports_csv.CREDIT_RISK_SUMMARY, kpis.count(), first_rows)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.operators import bronze, diagnostics, gold, quality, reconcile, reports, rules, runlog, silver
+from riskmart.operators import bronze, constraints, diagnostics, gold, quality, reconcile, reports, rules, runlog, silver
 from riskmart.plans.layers import Layers
-from riskmart.sources import given, landing
+from riskmart.sources import given, landing, tables
 from riskmart.spec import LOAD_SEQ
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,14 +39,14 @@ QUERIES: dict[str, Query] = {
     "ingest_row_count_check": _over(
         lambda x: landing.row_count_check(x.spark.read.parquet(f"{x.folder}/orders.parquet"), x.raw)),
     # Bronze
-    "bronze_transactions": _over(lambda x: x.bronze),
+    "bronze_transactions": _over(lambda x: x.whole_bronze),
     "bronze_dedup": _over(lambda x: x.bronze.select("txn_id", "txn_timestamp", "txn_amount_usd", "account_id")),
     "bronze_delinquency": _over(
         lambda x: x.bronze.select("txn_id", "target_credit_default", "delinquency_status")),
     "bronze_quarantine": _over(lambda x: x.quarantine),
     "bronze_split_counts": _over(lambda x: bronze.split_counts(x.judged)),
     # Silver
-    "silver_loan_accounts": _over(lambda x: x.silver),
+    "silver_loan_accounts": _over(lambda x: x.whole_silver),
     "silver_fx_join": _over(lambda x: silver.fx_join(x.bronze, x.fx)),
     "silver_loan_status": _over(
         lambda x: x.silver.select("txn_id", "delinquency_status", "target_credit_default", "loan_status")),
@@ -74,6 +74,13 @@ QUERIES: dict[str, Query] = {
     "dq_provision_vs_balance": _gold_check(quality.PROVISION_LIMIT),
     "dq_monthly_completeness": _over(lambda x: quality.completeness_check(x.gold, CHECKED_YEAR)),
     "dq_results": _over(lambda x: quality.checks(x.silver, None, CHECKED_YEAR)),
+    # Constraints of the tables
+    "constraints_bronze": _over(lambda x: constraints.report(x.bronze, constraints.CONSTRAINTS[tables.BRONZE])),
+    "constraints_silver": _over(lambda x: constraints.report(x.silver, constraints.CONSTRAINTS[tables.SILVER])),
+    "constraints_silver_spoilt": _over(
+        lambda x: constraints.report(given.spoilt_silver(x.silver), constraints.CONSTRAINTS[tables.SILVER])),
+    "constraints_gold": _over(lambda x: constraints.report(x.gold, constraints.CONSTRAINTS[tables.GOLD])),
+    "constraints_run_log": _over(lambda x: constraints.report(x.runs, constraints.CONSTRAINTS[tables.RUN_LOG])),
     # Reconciliation
     "recon_count_bronze_silver": _reconciled(reconcile.BRONZE_SILVER),
     "recon_count_silver_gold": _reconciled(reconcile.SILVER_GOLD),
@@ -92,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "report_npl_by_account_type": _over(lambda x: reports.npl_breakdown(x.silver, "account_type")),
     "report_provision_monthly": _over(lambda x: reports.provision_monthly(x.silver)),
     "report_provision_by_delinquency": _over(lambda x: reports.provision_by_delinquency(x.silver)),
+    "report_sums": _over(lambda x: reports.sums(x.silver)),
     "report_preview": _over(lambda x: reports.preview(reports.credit_risk_summary(x.gold))),
     # Diagnostics
     "diag_recent_runs": _over(lambda x: diagnostics.recent_runs(x.runs)),
@@ -117,8 +125,8 @@ QUERIES: dict[str, Query] = {
     # Documented rules
     "rule_npl_alert": _over(lambda x: rules.npl_alert(x.gold)),
     "rule_fx_complete": _over(lambda x: rules.missing_rates(x.bronze, x.fx)),
-    "rule_month_end_snapshot": _over(lambda x: rules.month_end(x.silver).select(
-        "account_id", "txn_month", "txn_id", "txn_timestamp", "orig_balance_thb", "loan_status")),
+    "rule_month_end_snapshot": _over(lambda x: rules.month_end(x.silver.select(
+        "account_id", "txn_month", "txn_id", "txn_timestamp", "orig_balance_thb", "loan_status"), stored=False)),
     "rule_npl_anomaly": _over(lambda x: rules.npl_anomaly(x.gold)),
     "rule_npl_anomaly_critical": _over(lambda x: rules.npl_anomaly(x.gold, rules.CRITICAL_ABOVE)),
 }

@@ -13,14 +13,13 @@ RAW_TRANSACTIONS = "raw/financial_transactions"
 RAW_FX = "raw/fx_rate"
 REPEATED_RATES = "raw/repeated_rates"
 JUDGED = "bronze/judged_transactions"
-REPEATED_KEYS = "bronze/repeated_keys"
-FIRST_COPIES = "bronze/first_copies"
 BRONZE = "bronze/financial_transactions"
 QUARANTINE = "bronze/quarantine_log"
 SILVER = "silver/loan_accounts"
 GOLD = "gold/monthly_credit_risk_report"
+REPORT_SUMS = "gold/report_sums"
 RUN_LOG = "gold/pipeline_run_log"
-LAYERS = [RAW_TRANSACTIONS, RAW_FX, JUDGED, REPEATED_KEYS, FIRST_COPIES, BRONZE, QUARANTINE, SILVER, GOLD]
+LAYERS = [RAW_TRANSACTIONS, RAW_FX, JUDGED, BRONZE, QUARANTINE, SILVER, GOLD, REPORT_SUMS]
 _MARKER = "_PUBLISHED"
 
 

@@ -5,8 +5,9 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from riskmart.operators import bronze
+from riskmart.operators import bronze, firsts
 from riskmart.spec import TRANSACTION_COLUMNS, TRANSACTION_SPEC
 
 AT = "2024-02-01 00:00:00"
@@ -126,12 +127,50 @@ def test_first_good_copy_is_kept(raw_rows):
     assert sorted(r.failed_value for r in bad) == ["x", "y"]
 
 
-def test_stored_removal_of_copies_gives_the_same_rows(raw_rows):
-    judged = bronze.judge(raw_rows(*copies(), *[{"txn_id": "HOT", "cust_age": str(i)} for i in range(500)]))
-    rows = bronze.passed(judged)
-    firsts = bronze.first_copies(rows, bronze.repeated_keys(rows))
-    assert sorted(bronze.drop_later_copies(rows, firsts).collect()) == sorted(bronze.good(judged).collect())
-    assert {r.txn_id for r in firsts.collect()} == {"A", "HOT"}
+def test_plans_for_wide_rows_give_the_same_rows(raw_rows):
+    raw = raw_rows(*copies(), {"txn_id": ""}, {"txn_id": ""}, *[{"txn_id": "HOT", "cust_age": str(i)} for i in range(500)],
+                   *[{"txn_id": f"ONE-{i}"} for i in range(500)])
+    judged = bronze.judge(raw)
+    expected = sorted(bronze.good(judged).collect(), key=str)
+    assert sorted(bronze.build(raw).collect(), key=str) == expected and len(expected) == 504
+    assert sorted(bronze.without_copies(bronze.passed(judged)).collect(), key=str) == expected
+
+
+def test_only_rows_that_may_repeat_are_shuffled(spark, raw_rows, tmp_path):
+    raw_rows(*[{"txn_id": f"ONE-{i}"} for i in range(3000)], *[{"txn_id": "TWO"}] * 2).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    seen = {}
+    for name, rows in (("wide", bronze.build(raw)), ("window", bronze.good(bronze.judge(raw)))):
+        assert len(rows.collect()) == 3001
+        queue, wide = [rows._jdf.queryExecution().executedPlan()], []
+        while queue:
+            node = queue.pop()
+            kind = node.nodeName()
+            if kind == "AdaptiveSparkPlan":
+                queue.append(node.executedPlan())
+                continue
+            if "QueryStage" in kind:
+                queue.append(node.plan())
+                continue
+            if kind == "Exchange" and node.output().size() > 40:
+                wide.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            queue += [children.apply(i) for i in range(children.size())]
+        seen[name] = sum(wide)
+    assert seen["wide"] <= 20 and seen["window"] >= 3001
+
+
+def test_a_full_sieve_still_gives_the_first_rows(spark, monkeypatch):
+    monkeypatch.setattr(firsts, "WORDS", 1)
+    rows = spark.range(2000).selectExpr("id % 700 as k", "id as place", "cast(id as string) as text")
+    found = firsts.first_rows(rows, ["k"], [F.col("place")]).collect()
+    assert sorted((r.k, r.place) for r in found) == [(k, k) for k in range(700)]
+
+
+def test_missing_keys_are_one_key(spark):
+    rows = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), (None, 0)], "k string, place int")
+    for plan in (firsts.first_rows, firsts.by_window):
+        assert sorted(plan(rows, ["k"], [F.col("place")]).collect(), key=str) == [("a", 3), (None, 0)]
 
 
 def test_split_counts(raw_rows):

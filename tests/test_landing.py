@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from riskmart.operators import bronze
+from riskmart.operators import firsts
 from riskmart.sources import landing
 from riskmart.spec import NA_TOKENS
 
@@ -40,8 +41,8 @@ def test_load_order_is_file_order_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     rows = spark.read.parquet(stored)
     assert [int(r.n) for r in rows.orderBy("_load_seq").collect()] == list(range(5000))
-    firsts = bronze.first_copies(rows, bronze.repeated_keys(rows)).join(rows, "txn_id").where("_load_seq = _first_seq")
-    assert sorted(int(r.n) for r in firsts.collect()) == list(range(7))
+    for plan in (firsts.first_rows, firsts.by_window):
+        assert sorted(int(r.n) for r in plan(rows, ["txn_id"], [F.col("_load_seq")]).collect()) == list(range(7))
 
 
 def test_files_with_another_header_are_refused(spark, tmp_path):

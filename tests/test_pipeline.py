@@ -5,9 +5,10 @@ import os
 
 import pytest
 
+import oracle_check
 from conftest import TINY
-from riskmart.operators import quality, runlog
-from riskmart.plans import pipeline
+from riskmart.operators import constraints, quality, reports, runlog
+from riskmart.plans import oracle, pipeline
 from riskmart.plans.layers import Layers
 from riskmart.plans.pipeline import Settings
 from riskmart.sources import given, tables
@@ -68,8 +69,12 @@ def test_run_log_holds_every_stage(spark, complete):
     assert [r.step_name for r in runs] == STAGES
     assert {r.status for r in runs} == {"SUCCESS"}
     rows = {r.step_name: r.rows_processed for r in runs}
-    assert rows["load_raw_transaction"] == 1500 and rows["bronze_transform"] == 1364
-    assert rows["silver_transform"] == 1286 and rows["data_quality"] == 10 and rows["reconciliation"] == 5
+    # The run has the rate that the given tables lack, so every Bronze row with debt reaches Silver.
+    bronze_sql = oracle.build()["bronze_transactions"]
+    counted = oracle_check.connect(TINY).execute(
+        f"SELECT count(*), count(*) FILTER (orig_balance_after > 0) FROM ({bronze_sql})").fetchone()
+    assert rows["load_raw_transaction"] == 1500 and (rows["bronze_transform"], rows["silver_transform"]) == counted
+    assert rows["data_quality"] == 10 and rows["reconciliation"] == 5
 
 
 def test_six_report_files(complete):
@@ -166,3 +171,39 @@ def test_retention_keeps_the_newest_published_writes(spark, tmp_path):
     last.retain(2)
     assert sorted(os.listdir(tmp_path / tables.GOLD)) == ["run=2", "run=3", "run=4"]
     assert last.read(tables.GOLD).count() == 4
+
+
+@pytest.mark.parametrize(("table", "rows", "problem"), [
+    (tables.SILVER, [("a",), ("b",), ("a",), ("a",)], r"txn_id not unique \(1\)"),
+    (tables.BRONZE, [("a",), (None,), (None,)], r"txn_id is null \(2\); txn_id not unique \(1\)"),
+    (tables.GOLD, [("2024-01",), (None,)], r"report_month is null \(1\)"),
+])
+def test_broken_constraint_leaves_the_published_table(spark, files, tmp_path, table, rows, problem):
+    column = "report_month" if table == tables.GOLD else "txn_id"
+    run = pipeline.Run(spark, settings(files, tmp_path))
+    count, stored = run._publish(table, spark.createDataFrame([("x",), ("y",)], f"{column} string"))
+    assert count == stored.count() == 2
+    later = pipeline.Run(spark, settings(files, tmp_path))
+    with pytest.raises(constraints.Violated, match=problem):
+        later._publish(table, spark.createDataFrame(rows, f"{column} string"))
+    assert later.tables.newest(table) == run.tables.newest(table)
+    assert {r[column] for r in later.tables.read(table).collect()} == {"x", "y"}
+
+
+def test_run_log_refuses_events_that_break_its_constraints(spark, tmp_path, caplog):
+    log = runlog.RunLog(spark, str(tmp_path / "log"), None)
+    log.start("step")
+    assert "without pipeline_name" in caplog.text and not (tmp_path / "log").exists()
+
+
+def test_sums_give_the_same_reports(complete):
+    stored, found = complete._silver(), complete.tables.read(tables.REPORT_SUMS)
+    for dimension in reports.NPL_DIMENSIONS:
+        assert reports.npl_breakdown_of(found, dimension).collect() == reports.npl_breakdown(stored, dimension).collect()
+    assert reports.provision_monthly_of(found).collect() == reports.provision_monthly(stored).collect()
+    assert reports.provision_by_delinquency_of(found).collect() == reports.provision_by_delinquency(stored).collect()
+
+
+def test_sums_read_silver_once(complete):
+    plan = reports.sums(complete._silver())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1

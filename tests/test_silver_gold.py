@@ -114,7 +114,8 @@ def test_month_end_keeps_the_last_row_per_account_and_month(spark):
         + [("a", "2024-02", datetime(2024, 2, 1), "u"), ("b", "2024-01", datetime(2024, 1, 1), "v1"),
            ("b", "2024-01", datetime(2024, 1, 1), "v2")],
         "account_id string, txn_month string, txn_timestamp timestamp_ntz, txn_id string")
-    assert sorted(r.txn_id for r in rules.month_end(rows).collect()) == ["t9", "u", "v2"]
+    for stored in (True, False):
+        assert sorted(r.txn_id for r in rules.month_end(rows, stored).collect()) == ["t9", "u", "v2"]
 
 
 @pytest.mark.parametrize(("rate", "exact"), [("36.12345678", True), ("36.1234567800", True), ("7", True), ("0.123456789", False),
