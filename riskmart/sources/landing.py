@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.convert import text_list
+from riskmart.sources import quoted
 from riskmart.spec import LOAD_SEQ, NA_TOKENS
 
-_LINE = "_line"
+_LINE, _FILE = "_line", "_file"
 
 
 def land(source: DataFrame, loaded_at: str, source_file: str | None = None) -> DataFrame:
@@ -32,24 +33,40 @@ def land_csv(spark: SparkSession, path: str, loaded_at: str, multi_line: bool =
     Only the first line is read to learn the names; a file whose header differs fails the read instead of shifting
     columns. A line with more fields than the header fails the read as well, and the error has the whole line: an
     unquoted separator would shift every later column. Missing fields at the end of a line are empty. `_load_seq` orders rows by file, then position: file path, start of the split, running number within it.
-    Files are split among tasks unless `multi_line` (line breaks inside quotes) is set.
+    Files are split among tasks; with `multi_line` (line breaks inside quotes) as well, see `quoted`, which reads the
+    files once more, for their quotes.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "encoding": "UTF-8",
                "columnNameOfCorruptRecord": _LINE}
     names = spark.read.options(**options).csv(path).columns
     schema = ", ".join(f"`{n}` string" for n in [*names, _LINE])
-    rows = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+    if multi_line:
+        rows = _records(spark, path, names, schema, options)
+    else:
+        rows = spark.read.options(**options, enforceSchema=False).schema(schema).csv(path).select(
+            "*", F.col("_metadata.file_name").alias(_FILE), F.struct(
+                F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("row")).alias(LOAD_SEQ))
     # Spark gives the line of every row with another number of fields; separators outside quotes tell which have more.
     bare = F.regexp_replace(_LINE, '"(?:[^"]|"")*"', "")
     surplus = F.length(bare) - F.length(F.translate(bare, ",", "")) >= len(names)
     source_file = F.when(surplus, F.raise_error(F.concat(F.lit("more fields than the header has: "), F.col(_LINE)))).otherwise(
-        F.col("_metadata.file_name"))
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"))
-    return land(rows.select(*[f"`{n}`" for n in names], source_file.alias("_source_file"), position.alias(LOAD_SEQ)),
-                loaded_at)
+        F.col(_FILE))
+    return land(rows.select(*[f"`{n}`" for n in names], source_file.alias("_source_file"), LOAD_SEQ), loaded_at)
+
+
+def _records(spark: SparkSession, path: str, names: list[str], schema: str, options: dict) -> DataFrame:
+    """Parsed records of files with line breaks inside quotes; the first record of each file must be the header."""
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in options.items() if k != "header"}
+    parsed = quoted.records(spark, path).withColumn("_row", F.from_csv("record", schema, options))
+    same = F.lit(True)
+    for n in names:
+        same &= F.lower(F.coalesce(F.col("_row")[n], F.lit(""))) == n.lower()
+    is_header = (F.col("block") == 0) & (F.col("row") == 0)
+    problem = F.raise_error(F.concat(F.lit("the header differs: "), "file", F.lit(": "), "record")).cast("boolean")
+    data = parsed.where(F.when(is_header, F.when(same, False).otherwise(problem)).otherwise(True))
+    return data.select("_row.*", F.regexp_extract("file", "[^/]*$", 0).alias(_FILE),
+                       F.struct("file", "block", "row").alias(LOAD_SEQ))
 
 
 class CountMismatch(ValueError):

@@ -9,8 +9,8 @@ function of the state at its begin (outside or inside of quotes), and these func
    fragments, at most two a block; only they are shuffled and joined.
 
 A quote opens at the begin of a field only and is written twice inside; a quoted value may go on behind its closing
-quote up to the separator. Records end with a line feed, with or without a carriage return before it. Lines without any
-character are no records. The functions that tasks run carry no reference to this package.
+quote up to the separator. Records end with a line feed; a carriage return before a line feed is dropped. Lines without
+any character are no records. The functions that tasks run carry no reference to this package.
 """
 
 from __future__ import annotations
@@ -18,12 +18,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = "file string, block long"
 PARTS = f"{BLOCK}, row long, kind string, record string"
-WHOLE, BEGIN, MIDDLE = "whole", "begin", "middle"
+WHOLE, BEGIN = "whole", "begin"  # the third kind is "middle"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -128,18 +128,15 @@ def records(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """file, block, row, record: the text of every record, without its line end; (file, block, row) is its place."""
     inside = begun_inside(spark, path, separator)
     parts = _lines(spark, path).mapInArrow(_cut(separator, inside), PARTS)
-    whole = parts.where(f"kind = '{WHOLE}'")
-    if not inside:  # no record crosses a block; one that the last block leaves open ends with the file
-        joined = parts.where(f"kind <> '{WHOLE}'")
-    else:
-        fragments = parts.where(f"kind <> '{WHOLE}'")
-        # A fragment that begins a record starts a new one; those after it go on.
-        from pyspark.sql import Window
-        order = Window.partitionBy("file").orderBy("block", "row")
-        numbered = fragments.withColumn("number", F.sum(F.when(F.col("kind") == BEGIN, 1).otherwise(0)).over(order))
-        pieces = F.sort_array(F.collect_list(F.struct("block", "row", "record")))
-        joined = numbered.groupBy("file", "number").agg(pieces.alias("pieces")).select(
-            "file", F.col("pieces")[0]["block"].alias("block"), F.col("pieces")[0]["row"].alias("row"),
-            F.array_join(F.transform("pieces", lambda p: p["record"]), "").alias("record"))
-    columns = ["file", "block", "row", F.regexp_replace("record", r"\r?\n?\z", "").alias("record")]
+    # A fragment that begins a record starts a new one; those after it go on.
+    order = Window.partitionBy("file").orderBy("block", "row")
+    number = F.sum(F.when(F.col("kind") == BEGIN, 1).otherwise(0)).over(order)
+    pieces = F.sort_array(F.collect_list(F.struct("block", "row", "record")))
+    joined = parts.where(F.col("kind") != WHOLE).withColumn("number", number).groupBy("file", "number").agg(
+        pieces.alias("pieces")).select(
+        "file", F.col("pieces")[0]["block"].alias("block"), F.col("pieces")[0]["row"].alias("row"),
+        F.array_join(F.transform("pieces", lambda p: p["record"]), "").alias("record"))
+    whole = parts.where(F.col("kind") == WHOLE)
+    unix = F.regexp_replace("record", "\r\n", "\n")
+    columns = ["file", "block", "row", F.regexp_replace(unix, r"\r?\n?\z", "").alias("record")]
     return whole.select(*columns).unionByName(joined.select(*columns)).where("record <> ''")

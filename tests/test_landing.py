@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskmart.operators import firsts
-from riskmart.sources import landing
+from riskmart.sources import landing, quoted
 from riskmart.spec import NA_TOKENS
 
 
@@ -57,6 +60,61 @@ def test_line_break_inside_quotes(spark, tmp_path):
     assert [r.note for r in landing.land_csv(spark, path, "now", multi_line=True).collect()] == ["two\nlines"]
 
 
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_equal_the_reader_of_whole_files(spark, tmp_path, seed, end):
+    r = random.Random(seed)
+    bits = ["a", "b c", ",", '""', end, end + end, "\u00e9", "x" * 30, ", ", " "]
+
+    def value():
+        if r.random() < 0.4:
+            return r.choice(["plain", "", "7", 'in"side', "two words", " lead"])
+        return '"' + "".join(r.choice(bits) for _ in range(r.randrange(12))) + '"'
+    text = end.join(["Txn_ID,Note,Other", *(f"T{i},{value()},{value()}" for i in range(600))]) + end
+    (tmp_path / "in").mkdir()
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / "in" / name).write_bytes(text.encode())
+    (tmp_path / "in" / "long.csv").write_bytes(f'Txn_ID,Note,Other{end}L,"{("line," + end) * 3000}",z{end}M,n,o'.encode())
+    path = str(tmp_path / "in")
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(path).na.fill("")
+    settings = {"spark.sql.files.maxPartitionBytes": "2048", "spark.sql.files.openCostInBytes": "0"}
+    saved = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert len(quoted.begun_inside(spark, path)) >= 5
+        found = landing.land_csv(spark, path, "now", multi_line=True).select("txn_id", "note", "other", "_source_file", "_load_seq").collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    blank = lambda x: "" if x in NA_TOKENS else x
+    assert Counter((r.txn_id, r.note, r.other) for r in found) == Counter(tuple(map(blank, r)) for r in whole.collect())
+    for name in ("a.csv", "b.csv"):
+        ordered = [r.txn_id for r in sorted((r for r in found if r._source_file == name), key=lambda r: r._load_seq)]
+        assert ordered == [f"T{i}" for i in range(600)]
+
+
+def test_quoted_files_are_read_by_several_tasks(spark, tmp_path):
+    path = write(tmp_path, "in.csv", "Txn_ID,Note\n" + 'T,"two\nlines"\n' * 3000)
+    saved = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        parts = quoted.records(spark, path)
+        assert parts.select(F.spark_partition_id()).distinct().count() > 5 and parts.count() == 3001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", saved)
+
+
+def test_quoted_files_with_another_header_or_more_fields_are_refused(spark, tmp_path):
+    write(tmp_path, "a.csv", "Txn_ID,N\nT1,1\n")
+    write(tmp_path, "b.csv", "N,Txn_ID\n1,T1\n")
+    with pytest.raises(Exception, match="header differs"):
+        landing.land_csv(spark, str(tmp_path), "now", multi_line=True).collect()
+    path = write(tmp_path, "c.csv", 'Txn_ID,N\nT1,"a\nb",3\n')
+    with pytest.raises(Exception, match="more fields"):
+        landing.land_csv(spark, path, "now", multi_line=True).collect()
+
+
 def test_counts_and_unique_keys(spark):
     assert landing.check_count(3, 3, "t") == 3
     with pytest.raises(landing.CountMismatch, match="2 rows stored, 3 rows read"):
