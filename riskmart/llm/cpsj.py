@@ -9,10 +9,11 @@ doc_id, stay apart unless their texts are equal. Keys are ordered by doc_id firs
 
 1. Each document gets `COORDINATES` minwise tokens of its set. Documents with equal sets are one class, led by the
    smallest key; only leaders go on, so exact copies cost one aggregation.
-2. `TREES` independent trees: the root branches leaders by two minwise tokens of its own. Nodes with more than `LEAF`
-   documents, or texts too large for a task, branch again by `BRANCH` tokens chosen by the node's hash, each child
-   agreeing on one, until they are small. What is still large at `DEPTH` is split into blocks, and every pair of
-   blocks is compared.
+2. `TREES` independent trees: the root branches leaders by two minwise tokens of its own. In nodes with more than `LEAF`
+   documents, or texts too large for a task, a pivot first settles what one comparison can (see `pivoted`); near copies,
+   which would follow one another down every branch, end here. What is left branches by `BRANCH` tokens chosen by the
+   node's hash, each child agreeing on one, if no child keeps more than half of its node; else, and at `DEPTH`, the node is
+   split into blocks and every pair of blocks is compared. So rows at most double from a level to the next.
 3. Small nodes are compared exhaustively, once for equal sets of members: sizes of all intersections of full sets. A
    node yields a spanning forest of its links, never its pairs.
 4. Links are closed to components; the document with the smallest key of each is kept.
@@ -42,6 +43,7 @@ LEAF, LEAF_SHINGLES, FEW = 2048, 3_000_000, 8
 LAST = 2**63 - 1  # stands for a null doc_id
 KEY = "struct<doc: bigint, hash: bigint>"
 _DENSE = 16  # elements in at least so many sets of a node are counted by a matrix product
+_SLICE = 4096  # of so many elements at once
 
 _ODD = words.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(words.BASE)) | np.uint64(1)
 
@@ -97,32 +99,103 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["id", "n", "h1", "h2", "tokens"])
 
 
-def leaves(leaders: DataFrame) -> DataFrame:
-    """(node, id): members of all nodes that are small enough to be compared, at least two each."""
+def _against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by pivot, salt and `member`: a pivot's text, then those of members. How near each is to its pivot."""
+    now, mine = None, np.zeros(0, np.uint64)
+    for batch in words.chunks(batches):
+        row, key = shingles(batch.column("text"))
+        n = np.bincount(row, minlength=batch.num_rows)
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        places = list(zip(*(batch.column(c).to_pylist() for c in ("pivot", "salt", "member"))))
+        common, of = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        for i, (pivot, salt, member) in enumerate(places):
+            own = key[bounds[i]:bounds[i + 1]]
+            if not member:
+                now, mine = (pivot, salt), own
+            common[i], of[i] = len(np.intersect1d(own, mine, assume_unique=True)), len(mine)
+        keep = pa.array([member for _, _, member in places])
+        union = n + of - common
+        found = pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("pivot"), pa.array(100 * common >= PERCENT * union),
+             pa.array(1 - common / np.maximum(union, 1))], names=["id", "pivot", "linked", "distance"])
+        yield found.filter(keep)
+
+
+def pivoted(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that are left, links (a, b)): members of large nodes that one comparison settles leave, without a loss.
+
+    Every member is compared with its node's pivot on full sets. One minus similarity is a metric: a member nearer to
+    the pivot than the nearest unlinked member less the limit can be linked with none of the unlinked ones, and with
+    the others the pivot links it. Nodes of near copies, which branching does not shrink, dissolve this way. The pivot is
+    the member with the least hash, mostly the same in all trees, so a pair is compared once. Its members are dealt over tasks.
+    """
+    pivots = rows.groupBy("node").agg(F.min_by("id", F.xxhash64("id")).alias("pivot"))
+    asked = rows.join(pivots, "node")
+    pairs = store.stage(asked.where("id <> pivot").select("id", "pivot").distinct(), "pivots")
+    salts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("salts"))
+    members = pairs.join(salts, "pivot").select(
+        "id", "pivot", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("member"))
+    heads = salts.select(F.col("pivot").alias("id"), "pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                         F.lit(False).alias("member"))
+    met = members.unionByName(heads).hint("merge").join(texts, "id").select("id", "pivot", "salt", "member", "text")
+    near = store.stage(met.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "member").mapInArrow(
+        _against, f"id {KEY}, pivot {KEY}, linked boolean, distance double"), "near")
+    store.discard(pairs)
+    judged_ = asked.join(near, ["id", "pivot"], "left").select(
+        "node", "id", "n", F.coalesce("linked", F.lit(True)).alias("linked"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
+    nearest = judged_.groupBy("node").agg(F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"))
+    settled = F.col("linked") & (F.col("nearest").isNull() | (F.col("distance") < F.col("nearest") - (100 - PERCENT) / 100 - 1e-9))
+    left = store.stage(judged_.join(nearest, "node").where(~settled).select("node", "id", "n"), "left")
+    return left, near.where("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    """Stored rows of nodes with at least two members; `small` nodes are for one task, `weight` is in shingles."""
+    sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
+    small = F.expr(f"(members <= {LEAF} AND weight <= {LEAF_SHINGLES}) OR members <= {FEW}")
+    return store.stage(rows.join(sizes.withColumn("small", small), "node"), "nodes")
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """(node, id) of all pairs of blocks of each node: the exact way for nodes that nothing makes smaller."""
+    blocks = F.ceil(F.greatest(F.col("members") * 2 / LEAF, F.col("weight") * 2 / LEAF_SHINGLES)).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
+                       lambda other: F.xxhash64("node", F.least("block", other), F.greatest("block", other)))
+    return dealt.select(F.explode(pair).alias("node"), "id")
+
+
+def leaves(leaders: DataFrame, texts: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """((node, id): members of all nodes that are small enough to be compared, at least two each; links found before)."""
     keys = [F.xxhash64(F.lit(t), F.col("tokens")[2 * t], F.col("tokens")[2 * t + 1]) for t in range(TREES)]
-    rows = leaders.select("id", "n", F.explode(F.array(*keys)).alias("node"))
-    found, levels = [], []
+    rows = _sized(leaders.select("id", "n", F.explode(F.array(*keys)).alias("node")))
+    levels, found, links = [rows], [rows.where("small").select("node", "id")], []
     for depth in range(DEPTH):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("members"), F.sum("n").alias("weight")).where("members > 1")
-        small = f"(members <= {LEAF} AND weight <= {LEAF_SHINGLES}) OR members <= {FEW}"
-        rows = store.stage(rows.join(sizes.withColumn("small", F.expr(small)).select("node", "small"), "node"), "nodes")
-        levels.append(rows)
-        found.append(rows.where("small").select("node", "id"))
-        rows = rows.where("NOT small").select("node", "id", "n")
-        if rows.isEmpty():
+        large = rows.where("NOT small")
+        if large.isEmpty():
             break
+        left, settled = pivoted(large.select("node", "id", "n"), texts)
+        links.append(settled)
+        rows = _sized(left)
+        levels += [left, rows]
+        found.append(rows.where("small").select("node", "id"))
+        large = rows.where("NOT small")
         choice = [F.pmod(F.xxhash64("node", F.lit(c)), F.lit(COORDINATES)).cast("int") for c in range(BRANCH)]
         child = [F.xxhash64("node", i, F.get("tokens", i)) for i in choice]
-        rows = rows.join(leaders.select("id", "tokens"), "id").select(
-            "id", "n", F.explode(F.array_distinct(F.array(*child))).alias("node"))
-    else:
-        sizes = rows.groupBy("node").agg(F.count("*").alias("members"))
-        blocks = F.ceil(F.col("members") * 2 / LEAF).cast("int")
-        dealt = rows.join(sizes, "node").withColumn("blocks", blocks).withColumn(
-            "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1),
-                           lambda other: F.xxhash64("node", F.least("block", other), F.greatest("block", other)))
-        found.append(dealt.select(F.explode(pair).alias("node"), "id"))
+        children = large.join(leaders.select("id", "tokens"), "id").select(
+            "id", "n", "members", F.col("node").alias("parent"), F.explode(F.array_distinct(F.array(*child))).alias("node"))
+        # A node whose child keeps more than half of it would only multiply; so would any at the last level.
+        most = children.groupBy("parent", "node").agg(F.count("*").alias("kept"), F.max("members").alias("members")).groupBy(
+            "parent").agg((F.max(2 * F.col("kept") - F.col("members")) > 0).alias("stays")).select("parent", "stays")
+        if depth == DEPTH - 1:
+            most = most.withColumn("stays", F.lit(True))
+        most = store.stage(most, "branches")
+        levels.append(most)
+        stays = most.where("stays").select(F.col("parent").alias("node"))
+        found.append(_block_pairs(large.join(stays, "node", "left_semi")))
+        rows = _sized(children.join(most.where("NOT stays").select("parent"), "parent", "left_semi").select("id", "n", "node"))
+        levels.append(rows)
+        found.append(rows.where("small").select("node", "id"))
     result = found[0]
     for part in found[1:]:
         result = result.unionByName(part)
@@ -131,7 +204,7 @@ def leaves(leaders: DataFrame) -> DataFrame:
     distinct = store.stage(distinct, "leaves")
     for table in levels:
         store.discard(table)
-    return distinct
+    return distinct, links
 
 
 def links_of(node: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -154,19 +227,30 @@ def links_of(node: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]
     code, common = np.unique(np.concatenate(codes), return_counts=True)
     left, right = code // len(node), code % len(node)
     linked = [_similar(left, right, common, n)]
-    r, g = row[heavy], group[heavy]
-    for mine in np.unique(node[r]) if len(r) else []:
-        members = np.flatnonzero(node == mine)
-        own = node[r] == mine
-        columns, column = np.unique(g[own], return_inverse=True)
-        matrix = np.zeros((len(members), len(columns)), np.float32)
-        matrix[r[own] - members[0], column] = 1
-        both = np.rint(matrix @ matrix.T).astype(np.int64)
-        extra = node[left] == mine
-        both[left[extra] - members[0], right[extra] - members[0]] += common[extra]
-        a, b = np.triu_indices(len(members), 1)
+    by_row = np.argsort(row[heavy], kind="stable")
+    r, g = row[heavy][by_row], group[heavy][by_row]
+    extra_by = np.argsort(left, kind="stable")
+    left, right, common = left[extra_by], right[extra_by], common[extra_by]
+    edges = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()) if len(r) else []:
+        low, high = np.searchsorted(r, [begin, end])
+        if low == high:
+            continue
+        columns, column = np.unique(g[low:high], return_inverse=True)
+        both = np.zeros((end - begin, end - begin))
+        by_column = np.argsort(column, kind="stable")
+        column, of = column[by_column], r[low:high][by_column] - begin
+        for first in range(0, len(columns), _SLICE):
+            x, y = np.searchsorted(column, [first, first + _SLICE])
+            matrix = np.zeros((end - begin, min(_SLICE, len(columns) - first)), np.float32)
+            matrix[of[x:y], column[x:y] - first] = 1
+            both += matrix @ matrix.T
+        both = np.rint(both).astype(np.int64)
+        x, y = np.searchsorted(left, [begin, end])
+        both[left[x:y] - begin, right[x:y] - begin] += common[x:y]
+        a, b = np.triu_indices(end - begin, 1)
         a, b = a[(hit := both[a, b] > 0)], b[hit]
-        linked.append(_similar(a + members[0], b + members[0], both[a, b], n))
+        linked.append(_similar(a + begin, b + begin, both[a, b], n))
     a, b = (np.concatenate(x) for x in zip(*linked))
     least = np.arange(len(node))
     while True:
@@ -222,17 +306,20 @@ def judged(docs: DataFrame) -> DataFrame:
     classes = store.stage(sketch.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("id").alias("leader")), "classes")
     leaders = store.stage(sketch.join(classes, ["n", "h1", "h2"]).where("id = leader").select(
         "id", "n", "tokens").dropDuplicates(["id"]), "leaders")
-    nodes = leaves(leaders)
+    whole = texts.groupBy("id").agg(F.first("text").alias("text"))
+    nodes, settled = leaves(leaders, whole)
     # The members grow with the documents, so the plan is the same at every size: no broadcast of what is still small.
     # Rows of one key have one text, and one of them is enough; their copies are merged before the shuffle.
-    compared = nodes.hint("merge").join(texts.groupBy("id").agg(F.first("text").alias("text")), "id").select(
-        "node", "id", "text")
+    compared = nodes.hint("merge").join(whole, "id").select("node", "id", "text")
     links = store.stage(compared.repartition("node").sortWithinPartitions("node").mapInArrow(
         _compare, f"a {KEY}, b {KEY}"), "pairs")
     # A row whose class is led by another document is linked with it; classes need no pairs of their own.
     led = sketch.join(classes, ["n", "h1", "h2"]).where("id <> leader").select(
         F.col("id").alias("a"), F.col("leader").alias("b"))
-    labels = components.labels(links.unionByName(led))
+    known = links.unionByName(led)
+    for more in settled:
+        known = known.unionByName(more)
+    labels = components.labels(known)
     for table in (leaders, nodes, links):
         store.discard(table)
     joined = sketch.join(labels, sketch["id"] == labels["node"], "left")

@@ -17,7 +17,7 @@ Steps, none of which gathers more than one document's own words in a place:
 4. Spans: windows join edges; those that follow one another in a document and along a path become one span (start,
    n_words, source document, start there). A document's spans meet its text once, where covered words leave.
 5. Verification: every span's words are compared with those at its source coordinates, by a digest of the words. If any
-   differ, two passages share hashes, and all is done again under another seed.
+   differ, two passages share hashes, and all is done again under another seed, of which the word hashes depend.
 
 Defined cases: null text has no words; documents of fewer than K words lose none; null doc_id comes after all others, and
 such documents do not repeat one another; rows with the same doc_id do not repeat one another either; an empty table
@@ -38,6 +38,7 @@ from riskmart.llm import store, words
 
 K = 13
 MINI = 7
+SEEDS = 3  # further ones that are tried
 LAST = 2**63 - 1  # stands for a null doc_id
 
 SPAN = "struct<start: long, n_words: long, src_doc: long, src_start: long, digest: binary>"
@@ -58,8 +59,8 @@ class Windows:
     """Windows of the texts of a chunk: start (word index), text, nodes and minimizer."""
 
     def __init__(self, texts: pa.Array, seed: int):
-        self.words = found = words.find(texts)
-        hashes = words.mix(found.hashes + words.power(7 + seed)) if seed else found.hashes
+        self.words = found = words.find(texts, seed=seed)
+        hashes = found.hashes
         text = found.text_of
         at = np.arange(len(hashes))
         self.at = at = at[at + K <= found.bounds[1:][text]] if len(at) else at
@@ -284,6 +285,8 @@ def remove(docs: DataFrame, as_hash: bool = False, seed: int = 0) -> DataFrame:
     store.discard(runs)
     checked = store.stage(_cut_rows(docs.select("doc_id", "text"), known, marks, True), "cut")
     if unverified(checked.select(F.explode("spans").alias("s")).select("s.*"), texts.select("doc", "text")):
+        if seed >= SEEDS:
+            raise RuntimeError(f"passages share their hashes under {SEEDS + 1} seeds")
         return remove(docs, as_hash, seed + 1)
     return checked if as_hash else _cut_rows(docs, known, marks, False)
 

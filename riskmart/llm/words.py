@@ -24,23 +24,6 @@ LOWER[0x41:0x5B] += 0x20
 
 BASE = 0x9E3779B97F4A7C15
 _POWERS = [np.uint64(pow(BASE, j, 1 << 64)) for j in range(64)]
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
-
-
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least `size` of each; kept by the worker up to 4 chunks."""
-    global _powers, _inverses
-    if len(_powers) < size:
-        made = []
-        for factor in (BASE, pow(BASE, -1, 1 << 64)):
-            column = np.full(size, factor, np.uint64)
-            column[0] = 1
-            made.append(np.multiply.accumulate(column))
-        if size > 4 * CHUNK:
-            return made[0], made[1]
-        _powers, _inverses = made
-    return _powers, _inverses
 
 
 def power(j: int) -> np.uint64:
@@ -108,7 +91,26 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def find(texts: pa.Array, inside: np.ndarray = SPACES, fold: np.ndarray = AS_IS, hashed: bool = True) -> Words:
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of each word. Its blocks of 8 bytes are mixed with their number before they are added, so that words made of
+    the same parts in another order, which cancel out in a polynomial modulo 2**64, differ like any others."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(7, np.uint8)])
+    eights = np.ndarray((len(data),), "<u8", padded, strides=(1,))  # the 8 bytes from each place on, not copied
+    sizes = ends - starts
+    blocks = (sizes + 7) >> 3
+    first = np.cumsum(blocks) - blocks
+    number = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    block = eights[np.repeat(starts, blocks) + 8 * number].astype(np.uint64)
+    rest = np.minimum(np.repeat(sizes, blocks) - 8 * number, 8)
+    block &= np.uint64(2**64 - 1) >> (64 - 8 * rest).astype(np.uint64)
+    start = np.uint64((BASE * (2 * seed + 1)) % 2**64)
+    block = mix(block ^ mix(number.astype(np.uint64) * np.uint64(BASE) + start))
+    return mix(np.add.reduceat(block, first) + sizes.astype(np.uint64) + start)
+
+
+def find(texts: pa.Array, inside: np.ndarray = SPACES, fold: np.ndarray = AS_IS, hashed: bool = True, seed: int = 0) -> Words:
     data, offsets = bytes_of(texts)
     if fold is not AS_IS:
         data = fold[data]
@@ -123,12 +125,7 @@ def find(texts: pa.Array, inside: np.ndarray = SPACES, fold: np.ndarray = AS_IS,
     after[-1:], after[:-1] = False, is_word[1:]
     after[edges[1:]] = False
     ends = np.flatnonzero(is_word & ~after) + 1
-    hashes = np.zeros(0, np.uint64)
-    if hashed:
-        powers, inverses = _tables(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], out=sums[1:])
-        hashes = mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    hashes = _hashes(data, starts, ends, seed) if hashed else np.zeros(0, np.uint64)
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
