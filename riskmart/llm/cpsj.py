@@ -137,10 +137,14 @@ def pivoted(rows: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
         "id", "pivot", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("member"))
     heads = salts.select(F.col("pivot").alias("id"), "pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
                          F.lit(False).alias("member"))
-    met = members.unionByName(heads).hint("merge").join(texts, "id").select("id", "pivot", "salt", "member", "text")
+    # Only texts that are asked for are shuffled, if Spark sees that the stored list of their ids is small enough to broadcast.
+    wanted = store.stage(pairs.select("id").unionByName(pairs.select(F.col("pivot").alias("id"))).distinct(), "wanted")
+    picked = texts.join(wanted, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    met = members.unionByName(heads).hint("merge").join(picked, "id").select("id", "pivot", "salt", "member", "text")
     near = store.stage(met.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "member").mapInArrow(
         _against, f"id {KEY}, pivot {KEY}, linked boolean, distance double"), "near")
-    store.discard(pairs)
+    for table in (pairs, wanted):
+        store.discard(table)
     judged_ = asked.join(near, ["id", "pivot"], "left").select(
         "node", "id", "n", F.coalesce("linked", F.lit(True)).alias("linked"), F.coalesce("distance", F.lit(0.0)).alias("distance"))
     nearest = judged_.groupBy("node").agg(F.min(F.when(~F.col("linked"), F.col("distance"))).alias("nearest"))
@@ -307,7 +311,7 @@ def judged(docs: DataFrame) -> DataFrame:
     leaders = store.stage(sketch.join(classes, ["n", "h1", "h2"]).where("id = leader").select(
         "id", "n", "tokens").dropDuplicates(["id"]), "leaders")
     whole = texts.groupBy("id").agg(F.first("text").alias("text"))
-    nodes, settled = leaves(leaders, whole)
+    nodes, settled = leaves(leaders, texts)
     # The members grow with the documents, so the plan is the same at every size: no broadcast of what is still small.
     # Rows of one key have one text, and one of them is enough; their copies are merged before the shuffle.
     compared = nodes.hint("merge").join(whole, "id").select("node", "id", "text")
