@@ -6,8 +6,12 @@ zeros ignored, so that a replaced word spoils only the masks that look at it. Wh
 texts are compared word by word along that alignment: the overlap is the longest stretch that begins and ends with an
 equal word and has at least `MIN_SAME` percent equal words. It counts from `MIN_WORDS` words, or, for a shorter item, if
 it is the whole item. Items of fewer than `MIN_ITEM` words say too little and match nothing.
-Items of fewer than `MIN_WORDS` words have masks of their own size that find each such overlap; for longer ones a
-passage with a replaced word in every few may have no seed.
+Items of fewer than `MIN_WORDS` words have masks of their own size that find each such overlap. Longer ones are covered
+by six masks of `MIN_WORDS` words, of which one ignores any two replaced words; only an overlap whose every window of
+that size has three or more replaced words may have no seed.
+
+A hit whose predecessor, one word earlier on both sides, is a hit too adds no alignment and is not listed, so a text and
+an item that repeat a few words cost their alignments, not the product of their places.
 
 The seeds of the benchmark go to the tasks in blocks of at most `BLOCK_WORDS` words; a larger benchmark takes more
 passes over the documents. Documents are not shuffled.
@@ -29,11 +33,15 @@ from pyspark.sql import functions as F
 
 from riskmart.llm import store, words
 
-MASKS = ("1111011", "1101101011", "11100110100111", "1111111")
 MIN_WORDS, MIN_SAME, MIN_ITEM = 13, 80, 5
+# Besides four masks for long stretches: of each four neighbouring words two are ignored, in all six ways.
+MASKS = ("1111011", "1101101011", "11100110100111", "1111111",
+         *("".join("01"[i % 4 not in zeros] for i in range(MIN_WORDS)) for zeros in combinations(range(4), 2)))
 BLOCK_WORDS = 200_000
 FOUND = "doc_id long, item_id long, doc_start long, item_start long, n_words long, n_same long"
 _FILTER_BITS = 20
+_HITS = 1 << 20  # hits listed at once
+_ITEM_START, _TEXT_START = np.uint64(1), np.uint64(2)  # stand for the seed before the first one
 
 
 def short_masks(n: int) -> list[str]:
@@ -54,6 +62,11 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return words.mix(total)
 
 
+def preceded(keys: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One hash for a seed and the seed before it."""
+    return words.mix(keys + before * words.power(1))
+
+
 def best_stretch(same: np.ndarray) -> tuple[int, int]:
     """[begin, end) of the longest stretch from an equal to an equal word with `MIN_SAME` percent equal; the first such."""
     starts = np.flatnonzero(same)
@@ -93,28 +106,47 @@ class Block:
             if size:
                 keep &= sizes[owner[at]] == size
             at = at[keep]
-            keys = seeds(self.hashes, mask)[at]
-            order = np.argsort(keys, kind="stable")
+            every = seeds(self.hashes, mask)
+            keys, before = every[at], np.where(at > self.bounds[owner[at]], every[at - 1], _ITEM_START)
+            order = np.lexsort((before, keys))
             sieve = np.zeros(1 << _FILTER_BITS, bool)
             sieve[keys >> np.uint64(64 - _FILTER_BITS)] = True
-            self.tables.append((keys[order], at[order], sieve))
+            pairs, first, many = np.unique(preceded(keys, before)[order], return_index=True, return_counts=True)
+            self.tables.append((keys[order], at[order], sieve, pairs, first, many))
         self.owner = found.text_of
 
+    def _alignments(self, found: words.Words, text_of: np.ndarray, mask: str, keys: np.ndarray, places: np.ndarray,
+                    sieve: np.ndarray, pairs: np.ndarray, first: np.ndarray, many: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows of (text, item, shift) where a seed of the text meets one of the item and the seeds before them do not."""
+        yield np.zeros((0, 3), np.int64)
+        mine = seeds(found.hashes, mask)
+        at = np.flatnonzero(sieve[mine >> np.uint64(64 - _FILTER_BITS)])
+        at = at[at + len(mask) <= found.bounds[1:][text_of[at]]] if len(at) else at
+        low, high = (np.searchsorted(keys, mine[at], side) for side in ("left", "right"))
+        at, low, high = at[high > low], low[high > low], high[high > low]
+        if not len(at):
+            return
+        pair = preceded(mine[at], np.where(at > found.bounds[text_of[at]], mine[at - 1], _TEXT_START))
+        i = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+        skip = np.where(pairs[i] == pair, many[i], 0)  # places with the same seed before them, in order from `head` on
+        head = np.where(skip > 0, first[i], high) - low
+        n = high - low - skip
+        ends = np.cumsum(n)
+        cuts = np.unique(np.searchsorted(ends, np.arange(_HITS, int(ends[-1]) + _HITS, _HITS))).tolist()
+        for a, b in zip([0, *cuts], [*cuts, len(at)]):
+            hit = np.repeat(np.arange(a, b), n[a:b])
+            step = np.arange(len(hit)) - np.repeat(np.cumsum(n[a:b]) - n[a:b], n[a:b])
+            place = places[low[hit] + step + np.where(step >= head[hit], skip[hit], 0)]
+            yield np.unique(np.stack([text_of[at[hit]], self.owner[place], at[hit] - place], 1), axis=0)
+
     def overlaps(self, found: words.Words) -> dict[tuple[int, int], tuple[int, int, int, int]]:
         """(text, item) -> (start in the text, start in the item, words, equal words) of the longest overlap."""
-        pairs = []
+        alignments = []
         text_of = found.text_of
-        for (mask, _), (keys, places, sieve) in zip(self.masks, self.tables):
-            mine = seeds(found.hashes, mask)
-            at = np.flatnonzero(sieve[mine >> np.uint64(64 - _FILTER_BITS)])
-            at = at[at + len(mask) <= found.bounds[1:][text_of[at]]] if len(at) else at
-            low, high = (np.searchsorted(keys, mine[at], side) for side in ("left", "right"))
-            n = high - low
-            hit = np.repeat(at, n)
-            place = places[np.repeat(low, n) + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)]
-            pairs.append(np.stack([text_of[hit], self.owner[place], hit - place], 1))
+        for (mask, _), table in zip(self.masks, self.tables):
+            alignments += self._alignments(found, text_of, mask, *table)
         result: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        for text, item, shift in np.unique(np.concatenate(pairs), axis=0).tolist():
+        for text, item, shift in np.unique(np.concatenate(alignments), axis=0).tolist():
             begin = max(int(self.bounds[item]), int(found.bounds[text]) - shift)
             end = min(int(self.bounds[item + 1]), int(found.bounds[text + 1]) - shift)
             same = self.hashes[begin:end] == found.hashes[begin + shift:end + shift]
