@@ -2,8 +2,9 @@
 
 A configuration is a multiset of lengths that fits one sequence. The configuration linear program (use as few
 configurations as possible so that every length is covered) is solved by multiplicative weights: a length's weight
-falls as it gets covered, and a knapsack by dynamic programming finds the configuration of greatest weight. The
-fractional uses are rounded down; what they leave is packed best-fit, largest first, on the histogram as well. The
+falls as it gets covered, and a knapsack by dynamic programming finds the configuration of greatest weight. It ends
+when every length is covered. The fractional uses are rounded, once down and once with what was cut off carried on to the
+next; what they leave is packed best-fit, largest first, on the histogram as well, and the shorter plan is taken. The
 histogram has at most one entry per token of a sequence, so the driver's work does not depend on the number of pieces.
 
 Pieces then take their places in Spark: the r-th piece of a length goes to the r-th place that the plan has for it.
@@ -27,7 +28,6 @@ from riskmart.llm import bpe, store, words
 
 SIZE = 4096
 END = 1
-ROUNDS = 192
 DECAY = 6.0
 LONGER = 1.2  # long pieces, which leave the worst gaps later, weigh more than in proportion
 GROUP_ROWS, GROUPS = 1000, 4096  # pieces of one length are ranked in groups
@@ -61,15 +61,19 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end: int = END) -> Data
 
 def knapsack(lengths: np.ndarray, values: np.ndarray, size: int) -> dict[int, int]:
     """The multiset of lengths of greatest value that fits `size`, as length -> count."""
-    best, choice = np.zeros(size + 1), np.full(size + 1, -1)
-    for room in range(int(lengths[0]), size + 1):
-        last = np.searchsorted(lengths, room, "right")
-        gains = best[room - lengths[:last]] + values[:last]
+    least = int(lengths[0])
+    value = np.full(size + 1, -np.inf)
+    value[lengths] = values
+    # Back to front, so that the gains of a room are the sum of two slices: back[size - r] is the best of room r.
+    back, choice = np.zeros(size + 1), np.full(size + 1, -1)
+    for room in range(least, size + 1):
+        gains = back[size - room + least:] + value[least:room + 1]
         i = int(gains.argmax())
-        if gains[i] > best[room - 1]:
-            best[room], choice[room] = gains[i], lengths[i]
+        before = back[size - room + 1]
+        if gains[i] > before:
+            back[size - room], choice[room] = gains[i], i + least
         else:
-            best[room], choice[room] = best[room - 1], 0
+            back[size - room], choice[room] = before, 0
     found: dict[int, int] = {}
     room = size
     while room >= lengths[0]:
@@ -80,21 +84,19 @@ def knapsack(lengths: np.ndarray, values: np.ndarray, size: int) -> dict[int, in
     return found
 
 
-def fractional(counts: dict[int, int], size: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
+def fractional(counts: dict[int, int], size: int) -> list[tuple[dict[int, int], float]]:
     """Uses of configurations by multiplicative weights.
 
     A length weighs its size ** LONGER times exp(-DECAY * covered share), nothing once it is covered, so that full
-    sequences of long and little covered lengths win. Each round uses its configuration until one of its lengths is covered.
+    sequences of long and little covered lengths win. Each round uses its configuration until one of its lengths is covered,
+    so there are at most as many rounds as lengths, and those at most `size`.
     """
     lengths = np.array(sorted(counts))
     demand = np.array([counts[x] for x in lengths.tolist()], float)
     covered = np.zeros(len(lengths))
     at = {x: i for i, x in enumerate(lengths.tolist())}
     uses = []
-    for _ in range(rounds):
-        open_ = np.flatnonzero(covered < demand)
-        if not len(open_):
-            break
+    while len(open_ := np.flatnonzero(covered < demand)):
         weights = lengths[open_] ** LONGER * np.exp(-DECAY * covered[open_] / demand[open_])
         config = knapsack(lengths[open_], weights, size)
         use = min((demand[at[x]] - covered[at[x]]) / k for x, k in config.items())
@@ -131,16 +133,28 @@ def best_fit(counts: dict[int, int], size: int) -> list[tuple[dict[int, int], in
     return plan
 
 
-def plan(counts: dict[int, int], size: int = SIZE, rounds: int = ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """Configurations and how many sequences use each; together they hold every piece exactly once."""
-    left, result = dict(counts), []
-    for config, use in fractional(counts, size, rounds) if counts else []:
-        times = min(int(use + 1e-9), *(left[x] // k for x, k in config.items()))
+def rounded(uses: list[tuple[dict[int, int], float]], counts: dict[int, int], carry: bool) -> tuple[list, dict[int, int]]:
+    """(configurations with whole uses, what they leave of `counts`)."""
+    left, result, rest = dict(counts), [], 0.0
+    for config, use in uses:
+        wanted = use + rest + 1e-9
+        times = min(int(wanted), *(left[x] // k for x, k in config.items()))
+        rest = wanted - int(wanted) if carry else 0.0
         if times:
             result.append((config, times))
             for x, k in config.items():
                 left[x] -= times * k
-    return result + best_fit({x: n for x, n in left.items() if n}, size)
+    return result, {x: n for x, n in left.items() if n}
+
+
+def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[dict[int, int], int]]:
+    """Configurations and how many sequences use each; together they hold every piece exactly once."""
+    uses = fractional(counts, size)
+    plans = []
+    for carry in (True, False):
+        chosen, left = rounded(uses, counts, carry)
+        plans.append(chosen + best_fit(left, size))
+    return min(plans, key=lambda p: sum(times for _, times in p))
 
 
 def runs(chosen: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
@@ -165,7 +179,7 @@ def ranked(cut: DataFrame, total: int) -> DataFrame:
     table, give where each group begins.
     """
     groups = min(GROUPS, ceil(total / GROUP_ROWS)) or 1
-    cut = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    cut = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
     sizes = cut.groupBy("length", "group").agg(F.count("*").alias("n"))
     first = sizes.select("length", "group", (F.sum("n").over(Window.partitionBy("length").orderBy("group")) - F.col("n"))
                          .alias("first"))
@@ -173,11 +187,11 @@ def ranked(cut: DataFrame, total: int) -> DataFrame:
     return cut.withColumn("own", own).join(first, ["length", "group"]).withColumn("rank", F.col("own") + F.col("first"))
 
 
-def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, end: int = END, rounds: int = ROUNDS) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, size: int = SIZE, end: int = END) -> DataFrame:
     """Pieces of `docs` (doc_id, text) with their sequence and place. Texts are encoded once and never shuffled."""
     cut = store.stage(pieces(docs, path or bpe.default_path(), size, end), "pieces")
     counts = {int(r["length"]): int(r["count"]) for r in cut.groupBy("length").count().collect()}  # at most `size` rows
-    places = runs(plan(counts, size, rounds))
+    places = runs(plan(counts, size))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -121,7 +121,7 @@ def test_records_round_trip_index_and_damage(spark, tmp_path):
 @pytest.mark.parametrize("counts", [{4096: 5}, {1: 10_000}, {3000: 40, 1096: 40, 7: 3}, {2049: 9, 2047: 4, 2048: 1},
                                     {n: 1 + n % 7 for n in range(1, 4097, 3)}, {}])
 def test_plan_holds_every_piece_once(counts):
-    plan = packing.plan(counts, rounds=40)
+    plan = packing.plan(counts)
     held: dict[int, int] = {}
     for config, times in plan:
         assert sum(x * k for x, k in config.items()) <= packing.SIZE and times > 0
